@@ -1,35 +1,133 @@
-"""Per-chunk caching for tokenizers whose pre-tokens never reach across the end of a run of white space."""
+"""Per-chunk caching for tokenizers whose pre-tokens never reach across the end of a run of white space.
+
+Texts are cut into chunks: a word with the one space before it, or white space.  Each distinct chunk is tokenized once
+while it stays in the table; all else (cutting, hashing, looking up, putting together) is vectorised over bytes.
+"""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
-#: Unicode White_Space, fixed values.
-WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: A word with the space before it, or white space up to the last character before a word: a pre-token of
-#: public_tokenizers.PATTERN lies within one of these, and is found in it alone as it is in the text.
-_SPLIT = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]").findall
-_LONG = 64
+import numpy as np
+
+from . import textscan
+
+_BITS = 21
+_MOST = 1_400_000
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_ASCII_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Unicode White_Space beyond ASCII, fixed values.
+_WIDE_WHITE = [c.encode() for c in map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])]
+_LEADS = np.isin(np.arange(256), [c[0] for c in _WIDE_WHITE])
+
+
+def cuts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the chunks (the end last), and of each text the number of its first chunk (the number of all last).
+
+    White space before a word is a pre-token up to its last character; that one is one too, unless it is a space, which
+    belongs to the word.
+    """
+    n = len(raw)
+    if not n:
+        return np.zeros(1, np.int64), np.zeros(len(offsets), np.int64)
+    white = _ASCII_WHITE[raw]
+    begins = white.copy()  # first bytes of white-space characters
+    for at in np.flatnonzero(_LEADS[raw]).tolist():
+        for c in _WIDE_WHITE:
+            if c[0] == raw[at] and raw[at : at + len(c)].tobytes() == c:
+                white[at : at + len(c)] = begins[at] = True
+    head = np.zeros(n + 1, bool)
+    head[offsets] = True
+    before = np.concatenate([[False], white[:-1]]) & ~head[:-1]
+    runs = np.flatnonzero(white & ~before)
+    after = np.concatenate([white[1:], [False]]) & ~head[1:]
+    ends = np.flatnonzero(white & ~after) + 1
+    word_next = ends[~head[ends]]
+    places = np.flatnonzero(begins)
+    last = places[np.searchsorted(places, word_next) - 1] if len(places) else word_next
+    mark = np.zeros(n + 1, bool)
+    mark[runs] = mark[last] = mark[word_next[raw[last] != 32]] = mark[offsets] = True
+    starts = np.flatnonzero(mark)
+    return starts, np.searchsorted(starts, offsets)
 
 
 class Chunks:
-    """Values of the chunks of texts, each distinct chunk computed once while the cache has room."""
-
-    def __init__(self, compute: Callable[[list[str]], list], most: int = 250_000):
-        self.compute, self.most, self.cache = compute, most, {}
-
-    def __call__(self, texts: list[str | None]) -> list[list]:
-        found = [_SPLIT(t) if t else [] for t in texts]
-        every = set().union(*found) if found else set()
-        new = every - self.cache.keys()
-        if len(self.cache) + len(new) > self.most:
-            self.cache, new = {}, every
-        if new:
-            order = list(new)
-            self.cache.update(zip(order, self.compute(order), strict=True))
-        get = self.cache.__getitem__
-        out = [list(map(get, x)) for x in found]
-        for chunk in [x for x in new if len(x) > _LONG]:
-            del self.cache[chunk]
-        return out
+    """compute: the values of each of several chunks, as one int32 array and the number of values of each."""
+
+    def __init__(self, compute: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = _MOST):
+        self.compute, self.most = compute, most
+        self.powers = self.inverse = np.ones(1, np.uint64)
+        self.clear()
+
+    def clear(self) -> None:
+        self.slots = np.full(1 << _BITS, -1, np.int32)
+        self.keys, self.starts, self.sizes = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.values, self.n, self.used = np.zeros(1 << 14, np.int32), 0, 0
+
+    def _hashes(self, raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        if len(self.powers) <= len(raw):
+            size = max(1 << 16, 2 * len(raw))
+            with np.errstate(over="ignore"):
+                self.powers = np.multiply.accumulate(np.full(size, _STEP, np.uint64))
+                self.inverse = np.multiply.accumulate(np.full(size, np.uint64(pow(int(_STEP), -1, 1 << 64)), np.uint64))
+        with np.errstate(over="ignore"):
+            total = np.zeros(len(raw) + 1, np.uint64)
+            np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self.powers[: len(raw)], out=total[1:])
+            return textscan.mix((total[starts[1:]] - total[starts[:-1]]) * self.inverse[starts[:-1]] + (starts[1:] - starts[:-1]).astype(np.uint64))
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The entry of each hash; -1 where there is none."""
+        slot = (hashes >> np.uint64(64 - _BITS)).astype(np.int64)
+        found = self.slots[slot]
+        open_ = np.flatnonzero((found >= 0) & (self.keys[found] != hashes))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & ((1 << _BITS) - 1)
+            found[open_] = self.slots[slot[open_]]
+            open_ = open_[(found[open_] >= 0) & (self.keys[found[open_]] != hashes[open_])]
+        return found
+
+    def _add(self, hashes: np.ndarray, values: np.ndarray, sizes: np.ndarray) -> None:
+        """New, distinct hashes with their values."""
+        m, k = len(hashes), len(values)
+        grow = lambda a, most: np.concatenate([a, np.zeros(max(most, 2 * len(a)) - len(a), a.dtype)]) if most > len(a) else a
+        self.keys, self.starts, self.sizes, self.values = grow(self.keys, self.n + m), grow(self.starts, self.n + m), grow(self.sizes, self.n + m), grow(self.values, self.used + k)
+        entry = np.arange(self.n, self.n + m)
+        self.keys[entry], self.sizes[entry], self.starts[entry] = hashes, sizes, self.used + np.cumsum(sizes) - sizes
+        self.values[self.used : self.used + k] = values
+        self.n, self.used = self.n + m, self.used + k
+        slot = (hashes >> np.uint64(64 - _BITS)).astype(np.int64)
+        while len(entry):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = entry[free]
+            left = self.slots[slot] != entry
+            entry, slot = entry[left], (slot[left] + 1) & ((1 << _BITS) - 1)
+
+    def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of all texts one after the other, and len + 1 offsets of the texts among them."""
+        starts, firsts = cuts(raw, offsets)
+        hashes = self._hashes(raw, starts) if len(starts) > 1 else np.zeros(0, np.uint64)
+        if self.n > self.most or self.used > 16 * self.most:
+            self.clear()
+        found = self._find(hashes)
+        lost = np.flatnonzero(found < 0)
+        if len(lost):
+            new, where = np.unique(hashes[lost], return_index=True)
+            where = lost[where]
+            if self.n + len(new) > (1 << _BITS) * 3 // 4:  # a batch of very many new chunks
+                self.clear()
+                found = np.full(len(hashes), -1, np.int32)
+                new, where = np.unique(hashes, return_index=True)
+                if len(new) > (1 << _BITS) * 3 // 4:
+                    raise MemoryError("a batch holds more distinct chunks than the table")
+            whole = raw.tobytes()
+            self._add(new, *self.compute([whole[a:b].decode() for a, b in zip(starts[where].tolist(), starts[where + 1].tolist(), strict=True)]))
+            lost = np.flatnonzero(found < 0)
+            found[lost] = self._find(hashes[lost])
+        size = self.sizes[found]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        return self.values[np.repeat(self.starts[found] - ends[:-1], size) + np.arange(int(ends[-1]))], ends[firsts]
+
+
+def joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """What compute returns, of an array for each chunk."""
+    return np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32), np.array([len(p) for p in parts], np.int64)

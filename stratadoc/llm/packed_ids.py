@@ -14,6 +14,7 @@ duplicate tasks do no harm.  Null and empty texts have only the end id; an empty
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -57,11 +58,12 @@ class Writer:
         self.offsets, self.docs, self.starts, self.n = [], [], [0], 0
         self.at = out.write(MAGIC)
 
-    def add(self, doc_ids: list[int | None], ids: list[np.ndarray]) -> None:
+    def add(self, doc_ids: list[int | None], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """The ids of some documents one after the other, and how many each has."""
         self.docs += [_NO_DOC if d is None else d for d in doc_ids]
-        self.starts += (self.n + np.cumsum([len(x) for x in ids])).tolist()
+        self.starts += (self.n + np.cumsum(sizes)).tolist()
         self.n = self.starts[-1]
-        every = np.concatenate([self.rest, *ids])
+        every = np.concatenate([self.rest, ids])
         whole = len(every) // BLOCK * BLOCK
         for at in range(0, whole, BLOCK):
             self._block(every[at : at + BLOCK])
@@ -113,16 +115,39 @@ class Reader:
 
 
 _tokenizers: dict[str, Chunks] = {}
+_GROUP = 512
 
 
 def tokenizer_chunks(path: str) -> Chunks:
-    """Ids of chunks by the tokenizers library; one for each Python worker."""
+    """Ids of chunks by the tokenizers library; one for each Python worker.
+
+    Words go to the library many at a time, with line breaks between: a line break after a word is a pre-token and a
+    token of its own, so the ids between two of them are those of a word.
+    """
     if path not in _tokenizers:
         from tokenizers import Tokenizer
 
         model = Tokenizer.from_file(path)
         model.encode_special_tokens = True  # their strings in a text are ordinary text
-        _tokenizers[path] = Chunks(lambda chunks: [np.array(e.ids, "<u4").tobytes() for e in model.encode_batch(chunks, add_special_tokens=False)])
+        encode = lambda texts: [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
+        cut = encode(["\n"])[0]
+
+        def compute(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            out: dict[str, bytes] = {}
+            words = [c for c in chunks if "\n" not in c and not c.isspace()] if len(cut) == 1 else []
+            groups = [words[i : i + _GROUP] for i in range(0, len(words), _GROUP)]
+            for group, ids in zip(groups, encode(["\n".join(g) for g in groups]), strict=True):
+                ids = np.array(ids, "<u4")
+                ends = (np.flatnonzero(ids == cut[0]) * 4).tolist()
+                if len(ends) == len(group) - 1:
+                    raw = ids.tobytes()
+                    out.update(zip(group, [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(raw)], strict=True)], strict=True))
+            rest = [c for c in chunks if c not in out]
+            out.update(zip(rest, (np.array(x, "<u4").tobytes() for x in encode(rest)), strict=True))
+            parts = [out[c] for c in chunks]
+            return np.frombuffer(b"".join(parts), "<i4"), np.array([len(p) // 4 for p in parts], np.int64)
+
+        _tokenizers[path] = Chunks(compute)
     return _tokenizers[path]
 
 
@@ -149,9 +174,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, partiti
     bits, folder = bits_for(vocabulary_size(tokenizer)), _qualified(spark, folder)
 
     def run(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         chunks = tokenizer_chunks(tokenizer)
         writer = out = None
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for part in shared.pieces(batch):
                 if writer is None:
@@ -160,7 +185,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, partiti
                     name = f"{root}/{uuid.uuid4().hex}.packed"
                     out = system.open_output_stream(name)
                     writer, task = Writer(out, bits), part.column("part")[0].as_py()
-                writer.add(part.column("doc_id").to_pylist(), [np.frombuffer(b"".join([*x, end]), "<u4") for x in chunks(part.column("text").to_pylist())])
+                ids, at = chunks(*shared.utf8(part.column("text")))
+                # the end id after each text's ids
+                writer.add(part.column("doc_id").to_pylist(), np.insert(ids, at[1:], end_id).view(np.uint32), at[1:] - at[:-1] + 1)
         if writer is not None:
             writer.close()
             out.close()

@@ -81,15 +81,17 @@ class Codec:
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.chunks = Chunks(self._chunk_ids)
 
-    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
+    def _chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         mapped = [[m.encode().decode("latin-1").translate(self.latin) for m in self.matches(c)] for c in chunks]
-        rest = list({m for c in mapped for m in c if m not in self.whole})
-        known = dict(zip(rest, ([i - 1 for i in x] for x in self.model.encode(rest, out_type=int, num_threads=1)), strict=True)) if rest else {}
         whole = self.whole
-        return [np.array([i for m in c for i in ((whole[m],) if m in whole else known[m])], "<i4").tobytes() for c in mapped]
+        rest = list({m for c in mapped for m in c if m not in whole})
+        known = dict(zip(rest, ([i - 1 for i in x] for x in self.model.encode(rest, out_type=int, num_threads=1)), strict=True)) if rest else {}
+        ids = [[i for m in c for i in ((whole[m],) if m in whole else known[m])] for c in mapped]
+        return np.array([i for x in ids for i in x], np.int32), np.array([len(x) for x in ids], np.int64)
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        return [np.frombuffer(b"".join(x), "<i4") for x in self.chunks(texts)]
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and len + 1 offsets of the texts among them."""
+        return self.chunks(*shared.utf8(column))
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of all ids, one after the other."""
@@ -114,9 +116,8 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         codec = _codec(path, pattern)
         for batch in batches:
             for part in shared.pieces(batch):
-                ids = codec.encode(part.column("text").to_pylist())
-                ends = np.cumsum([0, *map(len, ids)])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))], ["doc_id", "ids"])
+                ids, ends = codec.encode(part.column("text"))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))], ["doc_id", "ids"])
 
     return shared.id_and_text(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -144,10 +145,9 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         codec = _codec(path, pattern)
         for batch in batches:
             for part in shared.pieces(batch):
+                ids, ends = codec.encode(part.column("text"))
                 raw, offsets = shared.utf8(part.column("text"))
-                ids = codec.encode(part.column("text").to_pylist())
-                ends = np.cumsum([0, *map(len, ids)])
-                restored = pa.array([np.array_equal(codec.decode(x), raw[a:b]) for x, a, b in zip(ids, offsets[:-1], offsets[1:], strict=True)], pa.bool_())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids))), restored], ["doc_id", "ids", "restored"])
+                restored = pa.array([np.array_equal(codec.decode(ids[i:j]), raw[a:b]) for i, j, a, b in zip(ends[:-1], ends[1:], offsets[:-1], offsets[1:], strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)), restored], ["doc_id", "ids", "restored"])
 
     return shared.id_and_text(docs).mapInArrow(run, "doc_id long, ids array<int>, restored boolean")

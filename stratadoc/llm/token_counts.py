@@ -12,6 +12,7 @@ import unicodedata
 from collections.abc import Iterable
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -88,9 +89,9 @@ def _counter(path: str) -> Chunks:
     pieces, pattern = read_pieces(path)
     automaton, words = LongestMatch(pieces, pieces), regex.compile(pattern).findall
 
-    def compute(chunks: list[str]) -> list[tuple[int, int]]:
+    def compute(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [words(unicodedata.normalize("NFC", c).lower()) for c in chunks]
-        return [(len(w), sum(automaton.count(x.encode()) for x in w)) for w in found]
+        return np.array([n for w in found for n in (len(w), sum(automaton.count(x.encode()) for x in w))], np.int32), np.full(len(chunks), 2)
 
     return Chunks(compute)
 
@@ -102,7 +103,9 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
         count = _counter(path)
         for batch in batches:
             for part in shared.pieces(batch):
-                found = count(part.column("text").to_pylist())
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id").cast(pa.int64()), "n_words": pa.array([sum(x[0] for x in f) for f in found], pa.int64()), "n_tokens": pa.array([sum(x[1] for x in f) for f in found], pa.int64())})
+                values, ends = count(*shared.utf8(part.column("text")))
+                total = np.concatenate([[[0, 0]], np.cumsum(values.reshape(-1, 2), axis=0, dtype=np.int64)])[ends // 2]
+                sums = total[1:] - total[:-1]
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id").cast(pa.int64()), "n_words": sums[:, 0], "n_tokens": sums[:, 1]})
 
     return shared.id_and_text(docs).mapInArrow(run, "doc_id long, n_words long, n_tokens long")
