@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one step of a kernel handles at once, so that its arrays stay small whatever the batch.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def work_dir(spark: SparkSession) -> str:
