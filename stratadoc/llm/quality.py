@@ -62,14 +62,16 @@ def fit(texts: list[str], labels: list[int], rounds: int = 120, l2: float = 1e-5
     y = np.array(labels, np.float64)
     if len(set(labels)) < 2:
         return None
-    raw, offsets = shared.utf8(pa.array(texts, pa.string()))
-    cols, rows, vals = [], [], []
-    for slots, at in _slots(raw, offsets, *textscan.spans(raw, offsets, textscan.NONSPACE)):
-        size = np.diff(at)
-        key = np.repeat(np.arange(len(texts)), size) << BITS | slots
-        key, n = np.unique(key, return_counts=True)
-        r = key >> BITS
-        cols.append(key & ((1 << BITS) - 1)), rows.append(r), vals.append(n / size[r])
+    cols, rows, vals, at = [], [], [], 0
+    for part in shared.pieces(pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})):
+        raw, offsets = shared.utf8(part.column("text"))
+        for slots, ends in _slots(raw, offsets, *textscan.spans(raw, offsets, textscan.NONSPACE)):
+            size = np.diff(ends)
+            key = np.repeat(np.arange(part.num_rows), size) << BITS | slots
+            key, n = np.unique(key, return_counts=True)
+            r = key >> BITS
+            cols.append((key & ((1 << BITS) - 1)).astype(np.int32)), rows.append((r + at).astype(np.int32)), vals.append((n / size[r]).astype(np.float32))
+        at += part.num_rows
     cols, rows, vals = map(np.concatenate, (cols, rows, vals))
     held = np.arange(len(texts)) % 5 == 4
     weight = np.where(held, 0, np.where(y > 0, 0.5 / max(1, (y[~held] > 0).sum()), 0.5 / max(1, (y[~held] <= 0).sum())))
