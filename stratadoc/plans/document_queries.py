@@ -9,12 +9,13 @@ from ..functions import headings as hd
 from ..functions import text as tx
 from ..operators import blocks as bl
 from ..operators import chunks as ch
+from ..sources.readers import spread
 
 LINES_A_PAGE = 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
 def line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import evaluation as ev
 from ..operators import retrieval as rt
+from ..sources.readers import spread
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("chunk_id"), F.col("text").alias("content"))
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("chunk_id"), F.col("text").alias("content")))
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:

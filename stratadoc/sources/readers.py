@@ -28,6 +28,15 @@ def json_lines(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return reader.json(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores where a source has fewer splits than there are cores (a small file of one row group).
+
+    Large sources have more splits than that and are left as they are: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def is_hierarchical(records: DataFrame) -> bool:
     """Whether one of the first five records has a chunk_type."""
     return "chunk_type" in records.columns and bool([r for r in records.select("chunk_type").limit(5).collect() if r[0]])
