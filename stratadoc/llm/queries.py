@@ -17,7 +17,8 @@ def op1_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = suffix_dedup.repeated_passages(shared.documents(spark, sf_dir))
+    """The documents that have repeated passages; the operator itself has a row for every document."""
+    out = suffix_dedup.repeated_passages(shared.documents(spark, sf_dir)).where(F.size("spans") > 0)
     length = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return out.select("doc_id", "n_words", length.alias("n_repeated_words"), F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["end"])), ",").alias("spans"))
 
@@ -69,4 +70,35 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_packed_ids, op2_suffix_dedup, op3_secret_scan, op4_order_minhash, op5_token_counts, op6_language_id, op7_decontaminate, op8_quality_rules, op9_piece_bpe, op10_chat_format)}
-ORACLE: dict[str, str] = {}
+
+
+def _found(i: int, rule: secrets.Rule) -> str:
+    """Spans of one rule: the pieces between matches give the places of the matches."""
+    p = rule.pattern.replace("(?i:", "(?i:").replace("'", "''")
+    size = f"length(regexp_extract(m[j], '{p}', {rule.group}))" if rule.group else "length(m[j])"
+    return f"""SELECT doc_id, {i} AS kind_no, '{rule.kind}' AS kind, s AS start_, e AS end_ FROM (SELECT doc_id, unnest(list_transform(range(1, len(m) + 1), lambda j: {{'s': list_sum(list_transform(g[1:j], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:j-1], lambda x: length(x))), 0), 'n': length(m[j]), 'ok': {size} >= {rule.least}}})) AS x
+  FROM (SELECT doc_id, regexp_extract_all(text, '{p}') AS m, regexp_split_to_array(text, '{p}') AS g FROM documents)), LATERAL (SELECT CAST(x.s AS BIGINT) AS s, CAST(x.s + x.n AS BIGINT) AS e) WHERE x.ok"""
+
+
+_SECRETS = "WITH f AS (" + "\nUNION ALL ".join(_found(i, r) for i, r in enumerate(secrets.RULES)) + f""")
+SELECT doc_id, count(CASE WHEN kind = 'assign' THEN 1 END) AS n_assign, count(CASE WHEN kind = 'access' THEN 1 END) AS n_access, count(CASE WHEN kind = 'hex' THEN 1 END) AS n_hex,
+  sha256(coalesce(string_agg(CASE WHEN kind_no < {len(secrets.BASE)} THEN kind || ':' || start_ || ':' || end_ END, ',' ORDER BY start_, kind_no), '')) AS base_sha256,
+  coalesce(string_agg(kind || ':' || start_ || ':' || end_, ',' ORDER BY start_, kind_no), '') AS spans FROM documents LEFT JOIN f USING (doc_id) GROUP BY doc_id"""
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_HITS = f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
+n AS (SELECT *, least(10, len(w)) AS k FROM b WHERE len(w) > 0), sizes AS (SELECT DISTINCT k FROM n),
+bw AS (SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM n)),
+dw AS (SELECT doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM d, sizes WHERE len(w) >= k)),
+h AS (SELECT doc_id, item_id, i, k FROM dw JOIN bw USING (k, g)),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+_CHAT = r"""WITH u AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, regexp_matches(text, '</?s>|\[/?INST\]|<</?SYS>>|\[/?ROLE|\\[\\\[<]') AS esc FROM u)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256, CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn), '')) AS loss_sha256,
+  CAST(sum(length(text) + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 6 WHEN 'system' THEN 19 END + CASE WHEN esc THEN length(regexp_replace(text, '[^\\\[<]', '', 'g')) ELSE 0 END) AS BIGINT) AS formatted_chars FROM e GROUP BY conv_id"""
+
+ORACLE: dict[str, str] = {"op3_secret_scan": _SECRETS, "op7_decontaminate": _HITS, "op10_chat_format": _CHAT}

@@ -539,3 +539,18 @@ def test_pipeline(spark):
     assert len({classes[d] for d in ids}) == len(ids)
     clean = {r["doc_id"]: r["text"] for r in step.collect()}
     assert not any(brute_secrets(t) for t in clean.values())
+
+
+def test_queries_against_sql(spark):
+    import os
+
+    import duckdb
+
+    con, sf = duckdb.connect(), "/root/testdata/sf0.01"
+    for f in os.listdir(sf):
+        con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM read_parquet('{sf}/{f}')")
+    for name, sql in queries.ORACLE.items():
+        got, want = queries.QUERIES[name](spark, sf), con.execute(sql)
+        columns = [d[0] for d in want.description]
+        assert sorted(columns) == sorted(got.columns)
+        assert sorted(map(tuple, got.select(columns).collect()), key=repr) == sorted(want.fetchall(), key=repr), name
