@@ -73,6 +73,7 @@ def render(role: str, text: str) -> tuple[str, int, int]:
 
 def formatted(conversations: DataFrame) -> DataFrame:
     """conv_id, turn, and the turn's string with loss_start, loss_end (0, 0: no loss), a row per turn."""
+    shared.small_batches(conversations.sparkSession)
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def run(batches):

@@ -165,6 +165,7 @@ def scored(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that base rules and regression keep, scored in place: no shuffle, all columns stay."""
+    shared.small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(fit(*labelled_sample(docs, labels)))
 
     def run(batches):

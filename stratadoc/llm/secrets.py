@@ -194,6 +194,7 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every (merged) span replaced by ``mark``; n_chars, if there, is counted anew."""
+    shared.small_batches(docs.sparkSession)
     schema = docs.schema
 
     def run(batches):

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one step of a kernel handles at once, so that its arrays stay small whatever the batch.
 STEP_BYTES = 1 << 20
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -59,8 +60,15 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of few rows, as rows here hold whole texts; a setting of the user's stays."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, "1000")
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """doc_id and text alone, so that extra columns of any name never reach an operator."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
