@@ -19,6 +19,8 @@ DIGITS = 9
 TOP_K, K1, B, RRF_K = 10, 1.5, 0.75, 60
 #: Questions that one pass over the vectors compares: what is broadcast never exceeds this many vectors.
 QUERY_BLOCK = 4096
+#: Question terms (a row for each question and term) up to which they are broadcast.
+BROADCAST_TERMS = 200_000
 
 
 def top_k(scored: DataFrame, k: int | None, *ties: str) -> DataFrame:
@@ -31,10 +33,13 @@ def top_k(scored: DataFrame, k: int | None, *ties: str) -> DataFrame:
 # ---- sparse
 
 def term_frequencies(chunks: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-    """(chunk_id, term, tf); of the given terms alone if there are any, which are dropped before they are counted."""
+    """(chunk_id, term, tf); of the given terms alone if there are any: others are dropped before rows are counted.
+
+    With given terms rows are dealt by chunk_id, which serves the count, and later sums by (question, chunk) as well.
+    """
     exploded = chunks.select("chunk_id", F.explode(tx.tokens(F.col("content"))).alias("term"))
     if terms is not None:
-        exploded = exploded.join(terms.select("term").distinct(), "term", "left_semi")
+        exploded = exploded.join(terms.select("term").distinct(), "term", "left_semi").repartition("chunk_id")
     return exploded.groupBy("chunk_id", "term").agg(F.count("*").alias("tf"))
 
 
@@ -71,7 +76,10 @@ def bm25(queries: DataFrame, chunks: DataFrame, k: int | None = TOP_K, k1: float
     stats = corpus_stats(lengths)
     postings = term_frequencies(chunks, asked)
     weights = idf_table(postings, stats)
-    matched = asked.join(postings.join(weights.select("term", "idf"), "term"), "term").join(lengths, "chunk_id").crossJoin(F.broadcast(stats.select("avgdl")))
+    weighted = asked.join(weights.select("term", "idf"), "term")
+    if asked.count() <= BROADCAST_TERMS:  # few enough to come to the postings, which stay dealt by chunk
+        weighted = F.broadcast(weighted)
+    matched = postings.join(weighted, "term").join(lengths, "chunk_id").crossJoin(F.broadcast(stats.select("avgdl")))
     norm = 1 - b + b * F.col("length") / F.when(F.col("avgdl") > 0, F.col("avgdl")).otherwise(1.0)
     part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * norm)
     scored = matched.groupBy("query_id", "chunk_id").agg(F.round(F.sum(part), DIGITS).alias("score")).where("score > 0")
