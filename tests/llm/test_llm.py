@@ -252,7 +252,7 @@ def test_residual_blocks():
         kmers.append(np.array(own, "<u4"))
     parent = list(range(40))
     top = lambda x: x if parent[x] == x else top(parent[x])
-    for a, b in order_minhash.links_within(list(range(40)), kmers):
+    for a, b in order_minhash.links_between(list(range(40)), kmers, list(range(40)), [True] * 40):
         parent[max(top(a), top(b))] = min(top(a), top(b))
     mine = list(map(top, range(40)))
     parent = list(range(40))
@@ -263,6 +263,34 @@ def test_residual_blocks():
     assert mine == list(map(top, range(40))) and len(set(mine)) > 1
 
 
+def test_links_to_members_linked_before(spark):
+    """1 is similar to 5 and 5 to 3, 1 is not to 3: where all share a sketch, 5 links to 1 first; 3 must still meet it."""
+    for seed in range(2):
+        rng = random.Random(seed)
+        base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        first, third = list(base), list(base)
+        for i in range(3):
+            first[40 + 20 * i], third[240 + 20 * i] = f"a{i}", f"b{i}"
+        first[:25], third[-25:] = [f"c{i}" for i in range(25)], [f"d{i}" for i in range(25)]
+        rows = [(1, " ".join(first)), (3, " ".join(third)), (5, " ".join(base)), (9, prose(rng, 50))]
+        got = {r["doc_id"]: r["class_id"] for r in order_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == brute_classes(rows) == {1: 1, 3: 1, 5: 1, 9: 9}
+
+
+def test_every_outsider_meets_every_member(spark, monkeypatch):
+    """With blocks of three, each member outside a bucket's largest component shares a block with every member."""
+    monkeypatch.setattr(order_minhash, "BLOCK", 3)
+    rows = [(7, n) for n in range(20)] + [(8, n) for n in range(4)]
+    linked = [(0, n) for n in range(1, 12)]
+    dealt, _ = order_minhash._open_rows(spark.createDataFrame(rows, "key long, node long"), spark.createDataFrame(linked, "a long, b long"))
+    blocks = {}
+    for r in dealt.collect():
+        blocks.setdefault((r["key"], r["i"], r["j"]), []).append((r["node"], r["left"]))
+    met = {(a, b) for members in blocks.values() for a, left in members if left for b, _ in members}
+    assert {k[0] for k in blocks} == {7}
+    assert {(a, b) for a in range(12, 20) for b in range(20)} <= met
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(0, 40)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(45)] + [(200, 201 + i) for i in range(30)]
