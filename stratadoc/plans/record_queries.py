@@ -54,7 +54,7 @@ def sibling_links(spark, sf_dir):
 
 
 def index_filter(spark, sf_dir):
-    out = hi.indexable(hi.hierarchical(line_chunks(spark, sf_dir).withColumn("text", F.substring("text", 1, 100)), hi.HierarchyConfig(siblings=False)))
+    out = hi.indexable(hi.hierarchical(line_chunks(spark, sf_dir), hi.HierarchyConfig(siblings=False)))
     return out.groupBy("document_id", "chunk_type").agg(F.count("*").alias("n"), F.sum(F.length("content")).alias("chars"))
 
 
