@@ -150,7 +150,7 @@ def markdown_blocks(spark, sf_dir):
 
 
 def json_node_walk(spark, sf_dir):
-    source = F.to_json(F.struct(F.array(F.struct(F.substring("text", 1, 50).alias("text"), F.lit("p").alias("label"), F.lit(2).alias("page_no")), F.struct(F.substring("text", 1, 50).alias("text"), F.lit("p").alias("label"), F.lit(2).alias("page_no")), F.struct(F.lit("tail").alias("text"), F.lit("q").alias("label"), F.lit(3).alias("page_no"))).alias("texts")))
+    source = F.to_json(F.struct(F.array(F.struct("text", F.lit("p").alias("label"), F.lit(2).alias("page_no")), F.struct("text", F.lit("p").alias("label"), F.lit(2).alias("page_no")), F.struct(F.lit("tail").alias("text"), F.lit("q").alias("label"), F.lit(3).alias("page_no"))).alias("texts")))
     return rd.json_nodes(dq.documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("document_id"), source.alias("json")))
 
 

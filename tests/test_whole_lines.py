@@ -21,3 +21,14 @@ def lines(spark, tmp_path_factory):
 def test_index_filter_has_the_fragments_of_long_lines(spark, lines):
     got = sorted(tuple(r) for r in rq.index_filter(spark, lines).collect())
     assert got == [(1, "child", 3, 3 + len(LONG) + 1), (1, "fragment", 3, sum(map(len, PARTS))), (1, "table", 1, 150), (2, "child", 1, 5)]
+
+
+def test_json_nodes_hold_whole_texts(spark, tmp_path):
+    texts = ["  lead " + "é\"\\/\t" * 30 + "\nsecond line\r\n" + "z" * 5000 + " \n", " " * 60 + "late", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in rq.json_node_walk(spark, str(tmp_path)).collect())
+    want = []
+    for i, t in enumerate(texts):
+        kept = [("p", 2, t.strip())] if t and t.strip() else []
+        want += [(str(i), n, *node) for n, node in enumerate([*kept, ("q", 3, "tail")], 1)]
+    assert got == sorted(want)
