@@ -49,7 +49,7 @@ def fragment_semantic(spark, sf_dir):
 
 
 def sibling_links(spark, sf_dir):
-    out = hi.hierarchical(line_chunks(spark, sf_dir).withColumn("text", F.substring("text", 1, 100)))
+    out = hi.hierarchical(line_chunks(spark, sf_dir))
     return out.where("chunk_type <> 'parent'").select("document_id", "chunk_id", F.coalesce("previous_chunk_id", F.lit("")).alias("previous"), F.coalesce("next_chunk_id", F.lit("")).alias("next"), F.size("sibling_chunk_ids").alias("siblings"))
 
 

@@ -1,5 +1,7 @@
 """Queries over documents' lines on whole lines, however long, against figures worked out by hand."""
 
+import hashlib
+
 import pytest
 
 from stratadoc.plans import record_queries as rq
@@ -32,3 +34,14 @@ def test_json_nodes_hold_whole_texts(spark, tmp_path):
         kept = [("p", 2, t.strip())] if t and t.strip() else []
         want += [(str(i), n, *node) for n, node in enumerate([*kept, ("q", 3, "tail")], 1)]
     assert got == sorted(want)
+
+
+def test_sibling_links_run_through_fragments(spark, lines):
+    key = lambda kind, basis: hashlib.sha256(f"rag:1:{kind}:{basis}".encode()).hexdigest()
+    chunk = [hashlib.sha256(f"1:{i + 1}".encode()).hexdigest() for i in range(len(LINES))]
+    child = [key("child", c) for c in chunk]
+    fragments = [key("fragment", f"{child[1]}:{n}:{p[:80]}") for n, p in enumerate(PARTS, 1)]
+    order = [key("section_context", key("parent", "S0")), child[0], child[1], *fragments, child[2], key("table", f"{chunk[3]}:1:{'t' * 80}"), child[4]]
+    want = [(i, a, b, len(order) - 1) for i, a, b in zip(order, ["", *order], [*order[1:], ""])]
+    got = rq.sibling_links(spark, lines).where("document_id = 1").select("chunk_id", "previous", "next", "siblings").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
