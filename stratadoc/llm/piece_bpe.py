@@ -3,7 +3,10 @@
 Every token's bytes become printable characters, one for one; the model has these pieces with the score -rank and no
 normalisation, prefix or white-space rule, so sentencepiece merges in rank order.  Each match of the pre-token pattern
 is encoded by itself; a match that is a token as a whole is that token, as in tiktoken.  Decoding maps ids back to
-bytes.  Null and empty texts have no ids and decode to empty bytes; special tokens' strings are ordinary text.
+bytes.  Special tokens' strings are ordinary text.
+
+Null and empty texts have no ids and decode to empty bytes; a text may have any length; every row is encoded by itself, so
+repeated rows repeat their ids; an empty table gives no rows; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -6,6 +6,7 @@ import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _GRAM = np.uint64(0xD6E8FEB86659FD93)
+_KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n of eight bytes
 
 
 def _byte_table(words: str) -> np.ndarray:
@@ -50,17 +51,36 @@ def spans(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.n
     return starts, ends, counts
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run of bytes."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+def eights(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each run's bytes as 64-bit words, the last filled with zeros: all words, where each run's begin, their place in the run.
+
+    An empty run has one word, 0.  Runs of one length are equal if their words are.
+    """
     lengths = ends - starts
-    heads = np.cumsum(lengths) - lengths
-    within = np.arange(int(lengths.sum())) - np.repeat(heads, lengths)
-    source = within + np.repeat(starts, lengths)
+    counts = np.maximum(1, (lengths + 7) >> 3)
+    heads = np.cumsum(counts) - counts
+    place = np.arange(int(counts.sum())) - np.repeat(heads, counts)
+    at = np.repeat(starts, counts) + 8 * place
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    every = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))[at]
+    every &= _KEPT[np.minimum(8, np.repeat(ends, counts) - at)]
+    return every, heads, place
+
+
+def eight_hashes(every: np.ndarray, heads: np.ndarray, place: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of ``eights``.  Every word is mixed with its place before the words are added, so no
+    pattern of equal letters (as that of a word and its complement) cancels out."""
+    if not len(heads):
+        return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        powers = np.multiply.accumulate(np.full(int(lengths.max()), _BASE, np.uint64))
-        return mix(np.add.reduceat((raw[source].astype(np.uint64) + np.uint64(1)) * powers[within], heads) + lengths.astype(np.uint64))
+        mixed = mix(every ^ mix(place.astype(np.uint64) * _BASE + np.uint64(1)))
+        total = np.add.reduceat(mixed, heads) if len(heads) < len(every) else mixed
+        return mix(total + lengths.astype(np.uint64) * _GRAM)
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of bytes."""
+    return eight_hashes(*eights(raw, starts, ends), ends - starts)
 
 
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -71,7 +91,9 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         acc = words[:n].copy()
         for j in range(1, k):
-            acc = acc * _GRAM + words[j : j + n]
+            acc ^= acc >> np.uint64(31)
+            acc *= _GRAM
+            acc += words[j : j + n]
     return mix(acc)
 
 
