@@ -9,7 +9,8 @@ then bits u32, block ids u32, n_ids u64, n_docs u64, payload end u64, magic.
 
 Documents are range-partitioned and sorted by doc_id (null ids first; repeated ids stay neighbours), one file a
 partition.  A task writes under a name of its own; only files of successful tasks enter the manifest, so retried or
-duplicate tasks do no harm.  Null and empty texts have only the end id; an empty table has no file.
+duplicate tasks do no harm.  Null and empty texts have only the end id; an empty table has no file; a text may have any
+length; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -119,16 +120,19 @@ _GROUP = 512
 
 
 def tokenizer_chunks(path: str) -> Chunks:
-    """Ids of chunks by the tokenizers library; one for each Python worker.
+    """Ids of chunks by the tokenizers library as it loads the file; one for each Python worker.
 
-    Words go to the library many at a time, with line breaks between: a line break after a word is a pre-token and a
-    token of its own, so the ids between two of them are those of a word.
+    Its added tokens' strings are these tokens, as in the library; they are chunks of their own.  Words go to the
+    library many at a time, with line breaks between: a line break after a word is a pre-token and a token of its own,
+    so the ids between two of them are those of a word.
     """
     if path not in _tokenizers:
         from tokenizers import Tokenizer
 
         model = Tokenizer.from_file(path)
-        model.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = list(model.get_added_tokens_decoder().values())
+        if any(t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError("an added token that takes its neighbours along cannot be cut off")
         encode = lambda texts: [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
         cut = encode(["\n"])[0]
 
@@ -147,7 +151,7 @@ def tokenizer_chunks(path: str) -> Chunks:
             parts = [out[c] for c in chunks]
             return np.frombuffer(b"".join(parts), "<i4"), np.array([len(p) // 4 for p in parts], np.int64)
 
-        _tokenizers[path] = Chunks(compute)
+        _tokenizers[path] = Chunks(compute, apart=[t.content for t in added])
     return _tokenizers[path]
 
 
