@@ -74,7 +74,7 @@ QUERIES = {f.__name__: f for f in (op1_packed_ids, op2_suffix_dedup, op3_secret_
 
 def _found(i: int, rule: secrets.Rule) -> str:
     """Spans of one rule: the pieces between matches give the places of the matches."""
-    p = rule.pattern.replace("(?i:", "(?i:").replace("'", "''")
+    p = rule.pattern.replace("'", "''")
     size = f"length(regexp_extract(m[j], '{p}', {rule.group}))" if rule.group else "length(m[j])"
     return f"""SELECT doc_id, {i} AS kind_no, '{rule.kind}' AS kind, s AS start_, e AS end_ FROM (SELECT doc_id, unnest(list_transform(range(1, len(m) + 1), lambda j: {{'s': list_sum(list_transform(g[1:j], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:j-1], lambda x: length(x))), 0), 'n': length(m[j]), 'ok': {size} >= {rule.least}}})) AS x
   FROM (SELECT doc_id, regexp_extract_all(text, '{p}') AS m, regexp_split_to_array(text, '{p}') AS g FROM documents)), LATERAL (SELECT CAST(x.s AS BIGINT) AS s, CAST(x.s + x.n AS BIGINT) AS e) WHERE x.ok"""

@@ -1,13 +1,15 @@
 """Secret scans through a trigram inverted index.
 
 Each rule's regular expression is turned into a Boolean query over trigrams that every match must contain.  An index
-segment (about two megabytes of text) holds, for each trigram that some rule asks for, the postings: which of its
-texts have it, as a bitmap.  A rule's query intersects and unites postings; only its candidates are searched with the
-rule itself.  A rule without mandatory trigrams searches every text.  Trigrams are folded to lower case, which can only
-add candidates, so the result is that of searching everything.
+segment (about a megabyte of text, or one longer text) holds, for each trigram that some rule asks for, the postings:
+which of its texts have it, as a bitmap.  A rule's query intersects and unites postings; only its candidates are searched
+with the rule itself.  A rule without mandatory trigrams searches every text in full.  Rules name their letters of either
+case one by one, and all their letters are ASCII; the index folds ASCII letters alone, which can only add candidates, so
+the result is that of searching everything.
 
 Matches are leftmost and do not overlap within a kind; kinds may overlap each other.  Null and empty texts have no
-spans; a text's length is no limit; each row is scanned by itself, so repeated rows repeat their result.
+spans; a text's length is no limit; each row is scanned by itself, so repeated rows repeat their result; an empty table
+gives no rows; extra columns are not read by ``secret_spans`` and pass through ``redacted``, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,8 +35,13 @@ class Rule:
     least: int = 0
 
 
+def either_case(words: str) -> str:
+    """A pattern for the words with every ASCII letter in either case, and no other letter."""
+    return "".join(f"[{c}{c.upper()}]" if "a" <= c <= "z" else c for c in words)
+
+
 BASE = (
-    Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    Rule("assign", "(" + either_case("password|passwd|secret|token|api_?key") + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
 )
@@ -121,10 +128,16 @@ def _trigrams(query) -> set[str]:
     return {query} if isinstance(query, str) else set().union(*map(_trigrams, query[1])) if query else set()
 
 
+def _at_least(rule: Rule) -> str:
+    """The rule's pattern; of a run of one class, which is as long as it can be, the runs that are long enough."""
+    run = not rule.group and re.fullmatch(r"(\[[^\]\\]+\])\+", rule.pattern)
+    return f"{run[1]}{{{max(1, rule.least)},}}" if run else rule.pattern
+
+
 class Scanner:
     def __init__(self, rules: tuple[Rule, ...] = RULES):
         self.rules = rules
-        self.compiled = [re.compile(r.pattern) for r in rules]
+        self.compiled = [re.compile(_at_least(r)) for r in rules]
         self.queries = [trigram_query(r.pattern) for r in rules]
         self.ids = {g: i + 1 for i, g in enumerate(sorted(set().union(*map(_trigrams, self.queries))))}
         self.table = np.zeros(1 << 21, np.uint16)
@@ -150,17 +163,6 @@ class Scanner:
             return bits[self.ids[query]]
         return (np.logical_and if query[0] == "and" else np.logical_or).reduce([self._meets(q, bits) for q in query[1]])
 
-    def _full(self, i: int, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray | None:
-        """For a rule that is a run of ASCII characters of a least length: texts with such a run, read off the bytes."""
-        m = re.fullmatch(r"\[([0-9A-Za-z-]+)\]\+", self.rules[i].pattern)
-        if not m or self.rules[i].group:
-            return None
-        starts, ends, counts = textscan.spans(raw, offsets, np.array([b < 128 and bool(re.match(f"[{m[1]}]", chr(b))) for b in range(256)]))
-        text = np.repeat(np.arange(len(counts)), counts)
-        out = np.zeros(len(counts), bool)
-        out[text[ends - starts >= max(1, self.rules[i].least)]] = True
-        return out
-
     def __call__(self, column: pa.Array) -> list[list[tuple[int, int, int]]]:
         """For each text its (start, rule, end), code points, sorted."""
         raw, offsets = shared.utf8(column)
@@ -168,8 +170,6 @@ class Scanner:
         out: list[list] = [[] for _ in range(len(column))]
         for i, rule in enumerate(self.rules):
             candidates = self._meets(self.queries[i], bits)
-            if self.queries[i] is None and (full := self._full(i, raw, offsets)) is not None:
-                candidates = full
             for t in np.flatnonzero(candidates).tolist():
                 for m in self.compiled[i].finditer(column[t].as_py() or ""):
                     if len(m[rule.group]) >= rule.least:
