@@ -2,14 +2,18 @@
 
 The vocabulary is a trie.  Each node has a failure link and the number of pieces that are popped when it is taken, both
 computed once, so that greedy longest-match-first lengths come from one pass over a word's bytes, without pieces.
-A word that the vocabulary cannot cover counts as one unknown token.  Null and empty texts have no words and no tokens.
+The vocabulary's word-end mark is part of the last byte, of words as of pieces: a piece with the mark matches at a word's
+end only, one without it never does.  A word that the vocabulary cannot cover counts as one unknown token.
+
+Null and empty texts have no words and no tokens; a text may have any length; every row is counted by itself, so repeated
+rows repeat their counts; an empty table gives no rows; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import cache
 
 import numpy as np
@@ -21,13 +25,14 @@ from . import shared
 from .chunks import Chunks
 from .piece_bpe import byte_characters
 
-_WIDE = 256
+_END = 256  # added to the last byte of a word
+_WIDE = 2 * _END
 
 
 class LongestMatch:
     """initial: pieces that may begin a word; inner: those that may follow."""
 
-    def __init__(self, initial: Iterable[bytes], inner: Iterable[bytes]):
+    def __init__(self, initial: Iterable[Sequence[int]], inner: Iterable[Sequence[int]]):
         self.next: dict[int, int] = {}
         depth, piece, above = [0, 0], [False, False], [(-1, -1), (-1, -1)]
         for root, pieces in ((0, initial), (1, inner)):
@@ -53,7 +58,7 @@ class LongestMatch:
             if z >= 0:
                 self.fail[v], self.popped[v] = self.next[z * _WIDE + b], n
 
-    def count(self, word: bytes) -> int:
+    def count(self, word: Sequence[int]) -> int:
         """The number of greedy pieces; 1 if the word cannot be covered, 0 if it is empty."""
         step, fail, popped = self.next.get, self.fail, self.popped
         v = n = 0
@@ -72,15 +77,21 @@ class LongestMatch:
         return n
 
 
-def read_pieces(path: str) -> tuple[set[bytes], str]:
-    """The pieces of a word vocabulary of the tokenizers library without their word-end mark, as bytes; its word pattern."""
+def marked(word: bytes) -> tuple[int, ...]:
+    return (*word[:-1], word[-1] + _END) if word else ()
+
+
+def read_pieces(path: str) -> tuple[set[tuple[int, ...]], str]:
+    """The pieces of a word vocabulary of the tokenizers library, its word-end mark in the last byte; its word pattern."""
     with open(path) as f:
         spec = json.load(f)
     back = {c: b for b, c in enumerate(byte_characters())}
     end = spec["model"]["end_of_word_suffix"]
     special = {t["content"] for t in spec["added_tokens"]}
     words = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-    return {bytes(back[c] for c in p.removesuffix(end)) for p in spec["model"]["vocab"] if p not in special and p != end}, words
+    plain = lambda p: bytes(back[c] for c in p)
+    pieces = (p for p in spec["model"]["vocab"] if p not in special and p != end)
+    return {marked(plain(p.removesuffix(end))) if p.endswith(end) else tuple(plain(p)) for p in pieces}, words
 
 
 @cache
@@ -91,7 +102,7 @@ def _counter(path: str) -> Chunks:
 
     def compute(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [words(unicodedata.normalize("NFC", c).lower()) for c in chunks]
-        return np.array([n for w in found for n in (len(w), sum(automaton.count(x.encode()) for x in w))], np.int32), np.full(len(chunks), 2)
+        return np.array([n for w in found for n in (len(w), sum(automaton.count(marked(x.encode())) for x in w))], np.int32), np.full(len(chunks), 2)
 
     return Chunks(compute)
 
