@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import posixpath
-import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one step of a kernel handles at once, so that its arrays stay small whatever the batch.
@@ -72,6 +71,13 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def spread_pieces(text: Column, chars: int, pieces: int = 8) -> Column:
+    """The whole text up to ``chars`` characters; of a longer one as many, in pieces spread evenly from its start to its end."""
+    size = chars // pieces
+    at = lambda i: (F.floor((F.length(text) - size) * i / (pieces - 1)) + 1).cast("int")
+    return F.when(F.length(text) <= chars, text).otherwise(F.concat_ws("\n", *(F.substring(text, at(i), F.lit(size)) for i in range(pieces))))
+
+
 def pieces(batch: pa.RecordBatch, column: str = "text", step: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``step`` bytes of text each; a longer text has a slice of its own."""
     lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
@@ -95,7 +101,3 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     at = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None and at[-1] > at[0] else np.zeros(0, np.uint8)
     return raw, at - at[0]
-
-
-def remove_local(path: str) -> None:
-    shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
