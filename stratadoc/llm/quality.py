@@ -2,12 +2,15 @@
 
 Features are the hashes of words, of pairs of neighbouring words and of four neighbouring characters, each in one of
 ``2 ** BITS`` weights; a text's score is the bias plus the mean weight of its words, of its pairs and of its character
-grams.  The regression is fitted on at most ``SAMPLE_ROWS`` labelled rows of at most ``SAMPLE_CHARS`` characters each
-(the rows that come first by a hash of doc_id); every fifth of them is kept from the fit and calibrates the score
-(Platt scaling).  Scoring runs over whole texts in Arrow batches.
+grams.  The regression is fitted on at most ``SAMPLE_ROWS`` labelled rows (those that come first by a hash of doc_id,
+whatever their length) and at most ``SAMPLE_CHARS`` characters of each, in pieces spread over the whole text; every fifth
+of them is kept from the fit and calibrates the score (Platt scaling).  Scoring runs over whole texts in Arrow batches.
 
 Null and empty texts have no words, so the base rule rejects them.  Without labels of both kinds the regression keeps
-everything.  Labels that are null or contradict each other (a doc_id with both) are left out of the fit.
+everything.  Labels that are null or contradict each other (a doc_id with both) are left out of the fit, as are those of
+null doc_ids.  Every row is judged by itself: repeated rows and repeated or null doc_ids each get a row; a probability
+equal to the threshold keeps; an empty table gives no rows; extra columns are not read by ``scored`` and pass through
+``good_documents``, whatever their names.
 """
 
 from __future__ import annotations
@@ -142,11 +145,12 @@ def measures(column: pa.Array, model: dict | None) -> dict[str, np.ndarray]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> tuple[list[str], list[int]]:
-    """At most ``rows`` labelled texts of at most ``chars`` characters, first by a hash of doc_id."""
-    known = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("__other")).where("quality = __other")
+    """At most ``rows`` labelled texts that are not empty, first by a hash of doc_id; at most ``chars`` characters of each."""
+    known = labels.where("quality IN (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other")
     chosen = known.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows)
-    texts = shared.id_and_text(docs).where(F.length("text").between(1, chars))
-    got = texts.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("text", "quality").collect()  # 2 * rows bounds the broadcast
+    texts = shared.id_and_text(docs).where("text <> ''")
+    found = texts.join(F.broadcast(chosen), "doc_id")  # 2 * rows bounds the broadcast
+    got = found.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).select(shared.spread_pieces(F.col("text"), chars), "quality").collect()
     return [r[0] for r in got], [int(r[1]) for r in got]
 
 
