@@ -71,6 +71,28 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """A ``row`` number for every row.  Only fixed once written: a scan that is run again may number otherwise."""
+    return df.withColumn("row", F.monotonically_increasing_id())
+
+
+#: Parts that a key is dealt over where very many rows may have it.
+SALTS = 64
+
+
+def salted_join(rows: DataFrame, key: str, unique: str, **aggregates: Column) -> DataFrame:
+    """``rows`` with aggregates over their key, in whose join no key meets in one place.
+
+    A key's rows are dealt by salt (a hash of the column ``unique``), first for the aggregates (to be given by functions
+    that are the same over parts and over all: min, max, sum of sums), then for the join.
+    """
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(unique), F.lit(SALTS)).cast("int"))
+    parts = salted.groupBy(key, "salt").agg(*(c.alias(n) for n, c in aggregates.items()))
+    again = {n: {"min": F.min, "max": F.max, "sum": F.sum}[n.split("_")[0]](n).alias(n) for n in aggregates}
+    whole = parts.groupBy(key).agg(*again.values(), F.collect_list("salt").alias("salts"))
+    return salted.join(whole.withColumn("salt", F.explode("salts")).drop("salts"), [key, "salt"]).drop("salt")
+
+
 def spread_pieces(text: Column, chars: int, pieces: int = 8) -> Column:
     """The whole text up to ``chars`` characters; of a longer one as many, in pieces spread evenly from its start to its end."""
     size = chars // pieces

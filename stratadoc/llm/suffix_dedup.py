@@ -1,51 +1,56 @@
 """Repeated passages by a sparse suffix array.
 
 Words are lower-cased runs of letters and digits.  A window of ``WINDOW`` words that occurs in two or more documents is
-repeated; a document's spans are the unions of its repeated windows (word positions, end exclusive).
-
-Suffixes are kept only at minimisers: the places whose 12-word gram has the least hash of some 38 neighbouring grams,
-so every window holds one, at a place that its content alone determines.  Grams that occur once are dropped.  The other
-suffixes go to sorted order with the words before them; neighbours in the order of the words that follow, and in the
-order of the words before (read backwards), are compared, which gives their common lengths.  A match is extended right
-and left by these: two suffixes share a window that starts o words before if they share at least WINDOW - o words from
-there on and o words before.  That is exact for all pairs at once, without forming pairs.
-
-Copies (same words) are one text; copies of WINDOW words or more are repeated as a whole.  A gram that very many
-suffixes share is dealt over blocks of bounded size, whose windows then meet by their hashes.
-
-Null and empty texts, and texts of fewer words than a window, have no spans; an empty table gives no rows; repeated
-rows of a doc_id are one document and do not repeat each other.
+repeated; a document's spans are the unions of its repeated windows (word positions, end exclusive).  Words are compared
+by 32-bit hashes, copies by a digest of all their words.
+
+Suffixes are kept only at minimisers: the places whose 25-word gram has the least hash of some 26 neighbouring grams,
+so every window holds one, at a place that its content alone determines.  Grams that one text alone has are dropped, and
+of a text's suffixes with the same words around one stands for all their places.  The others go to sorted order with the
+words before them; neighbours in the order of the words that follow, and in the order of the words before (read
+backwards), are compared, which gives their common lengths.  A match is extended right and left by these: two suffixes
+share a window that starts o words before if they share at least WINDOW - o words from there on and o words before.  That
+is exact for all pairs at once, without forming pairs.
+
+Copies (same words) are one text; copies of WINDOW words or more are repeated as a whole.  A gram that more than ``BLOCK``
+suffixes share is dealt by document and place over blocks of about that size, whose windows then meet by their hashes.
+
+Null and empty texts, and texts of fewer words than a window, have no spans; a text may have any length; an empty table
+gives no rows; rows that repeat a doc_id are one document and do not repeat each other, rows of a null doc_id are a
+document each; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared, textscan
-from .order_minhash import _words
 
-WINDOW, GRAM = 50, 12
-PER = WINDOW - GRAM  # neighbouring grams of which the least is kept: each window of WINDOW words has all of some group
+WINDOW, GRAM = 50, 25
+PER = WINDOW - GRAM + 1  # neighbouring grams of which the least is kept: those of a window
 LEFT = WINDOW - GRAM  # words before a suffix that a window may hold
-BLOCK = 20_000
+BLOCK = 4096
 
 
-def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the minimisers of a text."""
-    grams = textscan.gram_hashes(words, GRAM)
+def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and hashes of the minimisers of a text (32-bit words), and a hash of all words that their windows may hold."""
+    padded = textscan.mix(np.concatenate([np.zeros(LEFT, np.uint32), words, np.zeros(WINDOW, np.uint32)]).astype(np.uint64) + np.uint64(1))
+    every = textscan.gram_hashes(padded, GRAM)
+    grams = every[LEFT : LEFT + max(0, len(words) - GRAM + 1)]
     least = textscan.window_minima(grams, PER)
-    kept = np.zeros(len(grams), bool)
-    # a gram is the least of some group if it equals the least of a group that holds it
-    if len(least):
-        padded = np.concatenate([np.zeros(PER - 1, np.uint64), least, np.zeros(PER - 1, np.uint64)])
-        kept = _most(padded) == grams
-    at = np.flatnonzero(kept)
-    return at, grams[at]
+    if not len(least):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    # a gram is kept if it equals the least of a window that holds it
+    around = np.concatenate([np.zeros(PER - 1, np.uint64), least, np.zeros(PER - 1, np.uint64)])
+    at = np.flatnonzero(_most(around) == grams)
+    known = np.minimum(WINDOW, len(words) - at) * (LEFT + 1) + np.minimum(LEFT, at)
+    context = textscan.mix(known.astype(np.uint64))
+    for step in range(-LEFT, WINDOW - LEFT + 1, GRAM):
+        context = textscan.mix(context ^ every[at + LEFT + step])
+    return at, grams[at], context
 
 
 def _most(values: np.ndarray) -> np.ndarray:
@@ -53,39 +58,65 @@ def _most(values: np.ndarray) -> np.ndarray:
     return ~textscan.window_minima(~values, PER)
 
 
+_ANCHORED = "row long, doc long, doc_id long, digest binary, n_words long, words binary, grams array<struct<gram:long,n:int>>"
+
+
 def _anchored(batches):
+    item = pa.struct([("gram", pa.int64()), ("n", pa.int32())])
     for batch in batches:
         for part in shared.pieces(batch):
-            digests, sizes, grams = [], [], []
-            for words in _words(part):
-                digests.append(hashlib.blake2b(words.tobytes(), digest_size=16).digest() if len(words) >= WINDOW else None)
-                sizes.append(len(words))
-                grams.append(np.unique(anchors(words)[1]).view(np.int64) if len(words) >= WINDOW else [])
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(grams, pa.list_(pa.int64()))], ["doc_id", "digest", "n_words", "grams"])
+            hashes, digests = textscan.words_of(*shared.utf8(part.column("text")))
+            names, counts, ends, kept = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [0], []
+            for h in hashes:
+                words = (h >> np.uint64(32)).astype("<u4")
+                kept.append(words.tobytes() if len(words) >= WINDOW else None)
+                _, grams, context = anchors(words)
+                gram, n = np.unique(grams[np.unique(context, return_index=True)[1]], return_counts=True)  # a context has one gram
+                names.append(gram.view(np.int64)), counts.append(n.astype(np.int32)), ends.append(ends[-1] + len(gram))
+            pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(names)), pa.array(np.concatenate(counts))], fields=list(item))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row"), part.column("doc"), part.column("doc_id"), pa.array([d if k is not None else None for d, k in zip(digests, kept, strict=True)], pa.binary()), pa.array([len(h) for h in hashes], pa.int64()), pa.array(kept, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)],
+                ["row", "doc", "doc_id", "digest", "n_words", "words", "grams"],
+            )
 
 
-_SUFFIXES = "gram long, block int, dealt boolean, doc_id long, place int, after binary, before binary, n_after int, n_before int"
+_SUFFIXES = "gram long, block int, dealt boolean, row long, doc long, places array<int>, after binary, before binary, n_after int, n_before int"
 
 
 def _suffixes(batches):
     """The suffixes of each text at the wanted grams, with WINDOW words from there on and LEFT words before, backwards."""
     for batch in batches:
-        for part in shared.pieces(batch, step=shared.STEP_BYTES // 2):
-            for doc, wanted, words in zip(part.column("doc_id").to_pylist(), part.column("wanted").to_pylist(), _words(part), strict=True):
-                at, grams = anchors(words)
-                names, counts = np.array([w["gram"] for w in wanted], np.int64), np.array([w["count"] for w in wanted], np.int64)
-                order = np.argsort(names)
-                found = order[np.minimum(np.searchsorted(names, grams.view(np.int64), sorter=order), len(names) - 1)]
-                ok = names[found] == grams.view(np.int64)
-                at, grams, count = at[ok], grams[ok], counts[found[ok]]
-                # a gram's suffixes: at least one in each document that has it; those of more than a block are dealt by document
-                block = int(textscan.mix(np.array([doc]).view(np.uint64))[0] >> np.uint64(1)) % -(-count // BLOCK)
-                padded = np.concatenate([np.zeros(LEFT, np.uint32), (words >> np.uint64(32)).astype(np.uint32), np.zeros(WINDOW, np.uint32)])
-                for lo in range(0, len(at), 4096):
-                    p = at[lo : lo + 4096]
-                    after = padded[p[:, None] + LEFT + np.arange(WINDOW)]
-                    before = padded[p[:, None] + LEFT - 1 - np.arange(LEFT)]
-                    yield pa.RecordBatch.from_arrays([pa.array(grams[lo : lo + 4096].view(np.int64)), pa.array(block[lo : lo + 4096].astype(np.int32)), pa.array(count[lo : lo + 4096] > BLOCK), pa.array(np.full(len(p), doc)), pa.array(p.astype(np.int32)), _rows(after), _rows(before), pa.array(np.minimum(WINDOW, len(words) - p).astype(np.int32)), pa.array(np.minimum(LEFT, p).astype(np.int32))], ["gram", "block", "dealt", "doc_id", "place", "after", "before", "n_after", "n_before"])
+        for i in range(batch.num_rows):
+            row, doc = batch.column("row")[i].as_py(), batch.column("doc")[i].as_py()
+            wanted = batch.column("wanted")[i].values
+            words = np.frombuffer(batch.column("words")[i].as_py(), "<u4")
+            at, grams, context = anchors(words)
+            names, counts = wanted.field("gram").to_numpy(), wanted.field("n").to_numpy()
+            order = np.argsort(names)
+            found = order[np.minimum(np.searchsorted(names, grams.view(np.int64), sorter=order), len(names) - 1)]
+            ok = names[found] == grams.view(np.int64)
+            at, grams, context, count = at[ok], grams[ok], context[ok], counts[found[ok]]
+            # one suffix of each content, with all its places
+            order = np.argsort(context, kind="stable")
+            new = np.ones(len(order), bool)
+            new[1:] = context[order][1:] != context[order][:-1]
+            heads = np.flatnonzero(new)
+            ends = np.append(heads, len(order))[1:]
+            first = order[heads]
+            place = textscan.mix(np.full(len(first), row, np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ at[first].astype(np.uint64))
+            block = (place >> np.uint64(1)).astype(np.int64) % -(-count[first] // BLOCK)
+            padded = np.concatenate([np.zeros(LEFT, np.uint32), words, np.zeros(WINDOW, np.uint32)])
+            for lo in range(0, len(first), 4096):
+                f = first[lo : lo + 4096]
+                p = at[f]
+                after = padded[p[:, None] + LEFT + np.arange(WINDOW)]
+                before = padded[p[:, None] + LEFT - 1 - np.arange(LEFT)]
+                h, e = heads[lo : lo + 4096], ends[lo : lo + 4096]
+                places = pa.ListArray.from_arrays(pa.array(np.append(h, e[-1]) - h[0], pa.int32()), pa.array(at[order[h[0] : e[-1]]].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(grams[f].view(np.int64)), pa.array(block[lo : lo + 4096].astype(np.int32)), pa.array(count[f] > BLOCK), pa.array(np.full(len(f), row)), pa.array(np.full(len(f), doc)), places, _rows(after), _rows(before), pa.array(np.minimum(WINDOW, len(words) - p).astype(np.int32)), pa.array(np.minimum(LEFT, p).astype(np.int32))],
+                    ["gram", "block", "dealt", "row", "doc", "places", "after", "before", "n_after", "n_before"],
+                )
 
 
 def _rows(words: np.ndarray) -> pa.Array:
@@ -130,22 +161,31 @@ def shared_windows(group: np.ndarray, doc: np.ndarray, after: np.ndarray, before
     return has, found
 
 
-_FOUND = "doc_id long, start long, end long, window long"
+_FOUND = "row long, doc long, starts array<int>, size int, window long"
 
 
 def _matched(batches):
     """Repeated spans of suffixes that come sorted by (gram, block); for dealt grams also windows that a block alone cannot decide."""
     held: list[pa.RecordBatch] = []
 
+    def told(table: pa.Table, rows: np.ndarray, shift: np.ndarray, size: np.ndarray, window: pa.Array):
+        taken = table.take(pa.array(rows))
+        places = taken.column("places").combine_chunks()
+        values = places.flatten().to_numpy()
+        counts = np.diff(places.offsets.to_numpy())
+        starts = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array((values - np.repeat(shift, counts)).astype(np.int32)))
+        return pa.RecordBatch.from_arrays([taken.column("row").combine_chunks(), taken.column("doc").combine_chunks(), starts, pa.array(size.astype(np.int32)), window], ["row", "doc", "starts", "size", "window"])
+
     def settle(table: pa.Table):
         col = lambda c: table.column(c).to_numpy()
-        gram, block, doc, place, dealt = col("gram"), col("block"), col("doc_id"), col("place").astype(np.int64), col("dealt")
-        _, group = np.unique(np.stack([gram, block]), axis=1, return_inverse=True)
+        gram, block, doc, dealt = col("gram"), col("block"), col("doc"), col("dealt")
+        group = np.concatenate([[0], np.cumsum((gram[1:] != gram[:-1]) | (block[1:] != block[:-1]))])
         after, before = _matrix(table.column("after"), WINDOW), _matrix(table.column("before"), LEFT)
-        has, found = shared_windows(group.ravel(), doc, after, before, col("n_after"), col("n_before"))
+        has, found = shared_windows(group, doc, after, before, col("n_after"), col("n_before"))
         some = np.flatnonzero(found.any(axis=1))
         furthest, nearest = LEFT - found[some, ::-1].argmax(axis=1), found[some].argmax(axis=1)
-        yield pa.RecordBatch.from_pydict({"doc_id": doc[some], "start": place[some] - furthest, "end": place[some] - nearest + WINDOW, "window": pa.nulls(len(some), pa.int64())})
+        if len(some):
+            yield told(table, some, furthest, furthest - nearest + WINDOW, pa.nulls(len(some), pa.int64()))
         rows = np.flatnonzero(dealt)
         if len(rows):
             with np.errstate(over="ignore"):
@@ -160,7 +200,8 @@ def _matched(batches):
                     # of windows that are known to be repeated one in the block speaks for all
                     known = np.flatnonzero(found[rows, o])
                     tell = np.concatenate([np.flatnonzero(has[rows, o] & ~found[rows, o]), known[np.unique(key[known], return_index=True)[1]]])
-                    yield pa.RecordBatch.from_pydict({"doc_id": doc[rows][tell], "start": place[rows][tell] - o, "end": place[rows][tell] - o + WINDOW, "window": key[tell].view(np.int64)})
+                    if len(tell):
+                        yield told(table, rows[tell], np.full(len(tell), o), np.full(len(tell), WINDOW), pa.array(key[tell].view(np.int64)))
 
     n = 0
     for batch in batches:
@@ -171,7 +212,8 @@ def _matched(batches):
         if n >= 8192:
             table = pa.Table.from_batches(held).combine_chunks()
             gram, block = table.column("gram").to_numpy(), table.column("block").to_numpy()
-            cut = int(np.flatnonzero((gram != gram[-1]) | (block != block[-1]))[-1]) + 1 if ((gram != gram[-1]) | (block != block[-1])).any() else 0
+            before = np.flatnonzero((gram != gram[-1]) | (block != block[-1]))
+            cut = int(before[-1]) + 1 if len(before) else 0
             if cut:
                 yield from settle(table.slice(0, cut).combine_chunks())
             held = table.slice(cut).combine_chunks().to_batches()
@@ -181,6 +223,7 @@ def _matched(batches):
 
 
 def _merge(batches):
+    """Neighbouring and overlapping spans of each row as one."""
     for batch in batches:
         out = []
         for spans in batch.column("spans").to_pylist():
@@ -191,28 +234,31 @@ def _merge(batches):
                 else:
                     ends.append([s, e])
             out.append([{"start": s, "end": e} for s, e in ends])
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["doc_id", "spans"])
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["node", "spans"])
+
+
+_SPANS = "array<struct<start:long,end:long>>"
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, n_words and spans (start, end; words) that other documents repeat, a row per document row."""
-    docs = shared.id_and_text(docs)
-    found = shared.written(docs.mapInArrow(_anchored, "doc_id long, digest binary, n_words long, grams array<long>"), "anchors")
-    copies = found.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node"), (F.min("doc_id") < F.max("doc_id")).alias("copied"))
-    of = shared.written(found.select("doc_id", "digest").join(copies, "digest").select("doc_id", "node", "copied", "digest").distinct(), "passage-nodes")
-    nodes = of.where("doc_id = node").select("doc_id", "digest").distinct()
-    grams = found.join(nodes, ["doc_id", "digest"], "left_semi").select("doc_id", F.explode("grams").alias("gram")).distinct()
-    often = shared.written(grams.groupBy("gram").count().where("count > 1"), "grams")
-    wanted = grams.join(often, "gram").groupBy("doc_id").agg(F.collect_list(F.struct("gram", "count")).alias("wanted")).withColumnRenamed("doc_id", "node")
-    suffixes = docs.join(wanted, docs["doc_id"] == wanted["node"]).select("doc_id", "text", "wanted").mapInArrow(_suffixes, _SUFFIXES)
+    doc = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("row"), "row")).otherwise(F.xxhash64("doc_id"))
+    found = shared.written(shared.numbered(shared.id_and_text(docs)).withColumn("doc", doc).mapInArrow(_anchored, _ANCHORED), "anchors")
+    long = found.where("digest IS NOT NULL").select("row", "doc", "digest")
+    copies = shared.salted_join(long, "digest", "row", min_row=F.min("row"), min_doc=F.min("doc"), max_doc=F.max("doc"))
+    of = shared.written(copies.select("row", F.col("min_row").alias("node"), (F.col("min_doc") < F.col("max_doc")).alias("copied")), "passage-nodes")
+    grams = found.select("row", F.explode("grams").alias("g")).select("row", "g.gram", "g.n").join(of.where("row = node").select("row"), "row", "left_semi")
+    often = shared.salted_join(grams, "gram", "row", min_row=F.min("row"), max_row=F.max("row"), sum_n=F.sum("n")).where("min_row < max_row")
+    wanted = often.groupBy("row").agg(F.collect_list(F.struct("gram", F.col("sum_n").alias("n"))).alias("wanted"))
+    suffixes = found.select("row", "doc", "words").join(wanted, "row").mapInArrow(_suffixes, _SUFFIXES)
     spans = shared.written(suffixes.repartition("gram", "block").sortWithinPartitions("gram", "block").mapInArrow(_matched, _FOUND), "spans")
     open_ = spans.where("window IS NOT NULL")
-    decided = open_.groupBy("window").agg(F.min("doc_id").alias("__a"), F.max("doc_id").alias("__b")).where("__a < __b").select("window")
-    ranges = spans.where("window IS NULL").select("doc_id", "start", "end").union(open_.join(decided, "window", "left_semi").select("doc_id", "start", "end"))
-    merged = ranges.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans")).mapInArrow(_merge, "doc_id long, spans array<struct<start:long,end:long>>").withColumnRenamed("doc_id", "node")
-    named = of.join(merged, "node", "left").select(F.col("doc_id").alias("__doc"), F.col("digest").alias("__digest"), "copied", F.col("spans"))
-    base = found.select("doc_id", "digest", "n_words")
-    out = base.join(named, (base["doc_id"] == named["__doc"]) & (base["digest"] == named["__digest"]), "left")
+    decided = open_.groupBy("window").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("window")
+    sure = spans.where("window IS NULL").select("row", "starts", "size").union(open_.join(decided, "window", "left_semi").select("row", "starts", "size"))
+    start = F.col("start").cast("long")
+    ranges = sure.select("row", "size", F.explode("starts").alias("start")).select(F.col("row").alias("node"), F.struct(start.alias("start"), (start + F.col("size")).alias("end")).alias("span"))
+    merged = ranges.groupBy("node").agg(F.collect_set("span").alias("spans")).mapInArrow(_merge, f"node long, spans {_SPANS}")
+    own = of.where("NOT copied").join(merged, "node").select("row", "spans")
+    out = found.select("row", "doc_id", "n_words").join(of.where("copied").select("row", "copied").unionByName(own.select("row", F.lit(False).alias("copied"), "spans"), allowMissingColumns=True), "row", "left")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
-    none = F.array().cast("array<struct<start:long,end:long>>")
-    return out.select("doc_id", "n_words", F.when(F.coalesce("copied", F.lit(False)), whole).otherwise(F.coalesce("spans", none)).alias("spans"))
+    return out.select("doc_id", "n_words", F.when(F.coalesce("copied", F.lit(False)), whole).otherwise(F.coalesce("spans", F.array().cast(_SPANS))).alias("spans"))

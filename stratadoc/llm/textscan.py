@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -83,6 +85,27 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return eight_hashes(*eights(raw, starts, ends), ends - starts)
 
 
+def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], list[bytes | None]]:
+    """Of each text the hashes of its lower-cased alphanumeric words, and an exact digest of these words (None without any)."""
+    low = LOWER[raw]
+    starts, ends, counts = spans(low, offsets, ALNUM)
+    hashes = np.split(word_hashes(low, starts, ends), np.cumsum(counts)[:-1])
+    # the words with a space after each: what is in a word, and the byte behind it
+    kept = ALNUM[low]
+    low = np.append(np.where(kept, low, 32).astype(np.uint8), np.uint8(32))
+    kept = np.append(kept, False)
+    kept[ends] = True
+    inner = np.searchsorted(starts, offsets)
+    out: list[bytes | None] = []
+    for a, b in zip(inner[:-1].tolist(), inner[1:].tolist(), strict=True):
+        if a == b:
+            out.append(None)
+            continue
+        s, e = int(starts[a]), int(ends[b - 1])
+        out.append(hashlib.blake2b(low[s:e][kept[s:e]].tobytes(), digest_size=16).digest())
+    return hashes, out
+
+
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """The hash of the k words from each place on, for the len - k + 1 places that have so many."""
     n = len(words) - k + 1
