@@ -93,6 +93,21 @@ def salted_join(rows: DataFrame, key: str, unique: str, **aggregates: Column) ->
     return salted.join(whole.withColumn("salt", F.explode("salts")).drop("salts"), [key, "salt"]).drop("salt")
 
 
+def salted_lookup(rows: DataFrame, key: str, unique: str, table: DataFrame, how: str = "left") -> DataFrame:
+    """``rows`` joined to the one row that a table has for their key, in whose join no key meets in one place."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(unique), F.lit(SALTS)).cast("int"))
+    dealt = salted.select(key, "salt").distinct().join(table, key)
+    return salted.join(dealt, [key, "salt"], how).drop("salt")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def spread_pieces(text: Column, chars: int, pieces: int = 8) -> Column:
     """The whole text up to ``chars`` characters; of a longer one as many, in pieces spread evenly from its start to its end."""
     size = chars // pieces
