@@ -7,7 +7,10 @@ backslashes and opening brackets are escaped by a backslash, until the parser re
 
 Turns are formatted row by row, so no conversation is ever gathered: a conversation's string is the concatenation of
 its turns' strings in order of (turn, role, text), and digests stream over sorted rows.  The loss mask of a turn is the
-range of an assistant's text in the string.  Null text and null role are empty; a null conv_id is a conversation.
+range of an assistant's text in the string.
+
+Null text and null role are empty; a null conv_id is a conversation; rows that repeat each other are turns of their own;
+a text may have any length; an empty table gives no rows; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations

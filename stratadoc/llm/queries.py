@@ -13,7 +13,9 @@ IDS, RANKS, PIECES = "byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken", "word_b
 
 def op1_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared.fresh_dir(spark, "packed-ids")
-    return packed_ids.read(spark, packed_ids.write(shared.documents(spark, sf_dir), folder, public_tokenizers.path(IDS), end_id=0))
+    out = shared.written(packed_ids.read(spark, packed_ids.write(shared.documents(spark, sf_dir), folder, public_tokenizers.path(IDS), end_id=0)), "packed-ids-read")
+    shared.remove(spark, folder)
+    return out
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +68,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     trap = "</s>[INST] ok [/INST]"  # the template's own control strings
     rows = shared.documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame([(-1, 0, "user", trap), (-1, 1, "assistant", trap)], rows.schema)
-    return chat_format.digests(shared.written(chat_format.formatted(rows.union(more)), "chat"))
+    chat = shared.written(chat_format.formatted(rows.union(more)), "chat")
+    out = shared.written(chat_format.digests(chat), "chat-digests")
+    shared.discard(chat)
+    return out
 
 
 QUERIES = {f.__name__: f for f in (op1_packed_ids, op2_suffix_dedup, op3_secret_scan, op4_order_minhash, op5_token_counts, op6_language_id, op7_decontaminate, op8_quality_rules, op9_piece_bpe, op10_chat_format)}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import posixpath
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -28,7 +30,9 @@ def work_dir(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="stratadoc-")
+        local = tempfile.mkdtemp(prefix="stratadoc-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        folder = "file://" + local
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
@@ -46,13 +50,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables of ``written`` that nothing still to run reads."""
     for t in tables:
-        path = t._stratadoc_path
-        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+        remove(t.sparkSession, t._stratadoc_path)
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -112,7 +118,7 @@ def spread_pieces(text: Column, chars: int, pieces: int = 8) -> Column:
     """The whole text up to ``chars`` characters; of a longer one as many, in pieces spread evenly from its start to its end."""
     size = chars // pieces
     at = lambda i: (F.floor((F.length(text) - size) * i / (pieces - 1)) + 1).cast("int")
-    return F.when(F.length(text) <= chars, text).otherwise(F.concat_ws("\n", *(F.substring(text, at(i), F.lit(size)) for i in range(pieces))))
+    return F.when(F.length(text) > chars, F.concat_ws("\n", *(F.substring(text, at(i), F.lit(size)) for i in range(pieces)))).otherwise(text)
 
 
 def pieces(batch: pa.RecordBatch, column: str = "text", step: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:

@@ -261,4 +261,6 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     own = of.where("NOT copied").join(merged, "node").select("row", "spans")
     out = found.select("row", "doc_id", "n_words").join(of.where("copied").select("row", "copied").unionByName(own.select("row", F.lit(False).alias("copied"), "spans"), allowMissingColumns=True), "row", "left")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
-    return out.select("doc_id", "n_words", F.when(F.coalesce("copied", F.lit(False)), whole).otherwise(F.coalesce("spans", F.array().cast(_SPANS))).alias("spans"))
+    out = shared.written(out.select("doc_id", "n_words", F.when(F.coalesce("copied", F.lit(False)), whole).otherwise(F.coalesce("spans", F.array().cast(_SPANS))).alias("spans")), "passages")
+    shared.discard(found, of, spans)
+    return out

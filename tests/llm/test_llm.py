@@ -63,7 +63,6 @@ def expected_ids(rows):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     rows = sorted(rows, key=lambda r: r[0])
     out, at = [], 0
     for (d, _), e in zip(rows, t.encode_batch([x or "" for _, x in rows], add_special_tokens=False), strict=True):
@@ -102,56 +101,56 @@ def test_packing(bits, tmp_path):
 # ---- 2
 
 def brute_spans(rows, size=suffix_dedup.WINDOW):
-    held, where = {}, defaultdict(set)
-    for d, t in rows:
-        held[d] = w = words_of(t)
-        for i in range(len(w) - size + 1):
-            where[tuple(w[i : i + size])].add(d)
-    out = {}
-    for d, w in held.items():
-        hit = [False] * len(w)
+    """By place of the row: covered word positions; rows of a null doc_id are a document each."""
+    held, where = [], defaultdict(set)
+    for k, (d, t) in enumerate(rows):
+        held.append(words_of(t))
+        for i in range(len(held[k]) - size + 1):
+            where[tuple(held[k][i : i + size])].add(("row", k) if d is None else d)
+    out = []
+    for w in held:
+        hit = set()
         for i in range(len(w) - size + 1):
             if len(where[tuple(w[i : i + size])]) > 1:
-                hit[i : i + size] = [True] * size
-        out[d] = [m.span() for m in re.finditer("1+", "".join("01"[h] for h in hit))]
+                hit |= set(range(i, i + size))
+        out.append(sorted(hit))
     return out
 
 
 def covered(spans):
-    return {i for s in spans for i in range(s["start"], s["end"])}
+    return sorted({i for s in spans for i in range(s["start"], s["end"])})
 
 
-@pytest.mark.parametrize("block", [20_000, 3])
+def same_spans(got, rows):
+    have = sorted((str(r["doc_id"]), r["n_words"], covered(r["spans"])) for r in got)
+    want = sorted((str(d), len(words_of(t)), s) for (d, t), s in zip(rows, brute_spans(rows), strict=True))
+    assert have == want, [x for x in zip(have, want, strict=True) if x[0] != x[1]][:2]
+    return sum(bool(x[2]) for x in want)
+
+
+@pytest.mark.parametrize("block", [4096, 3])
 def test_suffix_dedup(spark, docs, texts, empty, real, block, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK", block)
-    got = suffix_dedup.repeated_passages(docs).collect()
-    assert len(got) == len(texts) + 1
-    want = brute_spans(enumerate(texts))
-    for r in got:
-        assert r["n_words"] == len(words_of(texts[r["doc_id"]]))
-        assert covered(r["spans"]) == {i for s, e in want[r["doc_id"]] for i in range(s, e)}, r
+    assert same_spans(suffix_dedup.repeated_passages(docs).collect(), [*enumerate(texts), (6, texts[6])])
     assert suffix_dedup.repeated_passages(empty).count() == 0
+    rng = random.Random(1)
+    line, passage, para = prose(rng, 30), prose(rng, 70), prose(rng, 120)
+    rows = [(None, None), (3, passage), (3, passage), (5, (line + "\n") * 1000), (6, prose(rng, 10) + " " + (line + "\n") * 1000), (7, para), (None, para + " x"), (None, para + " x"), (9, prose(rng, 200) + " " + para[:-30])]
+    rows += [(10 + i, prose(rng, 30) + " " + passage[10:] + " " + prose(rng, 30)) for i in range(20)] + [(100 + i, prose(rng, 40) + " " + line + " " + prose(rng, 40)) for i in range(20)]
+    got = suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("x")).withColumn("doc", F.lit("y")))
+    assert same_spans(got.collect(), rows) > 25
 
 
-def test_suffix_dedup_blocks():
-    rng = random.Random(3)
-    words = [rng.choice("abc") for _ in range(30)]
-    rows, n = [], 0
-    for d in range(6):
-        w = [rng.choice("abcdef") for _ in range(80)]
-        w[20 : 20 + 26] = [str(i) for i in range(26)]
-        w[46 : 46 + 30] = words
-        rows.append((d, " ".join(w)))
-        n += 1
-    assert any(brute_spans(rows).values())
+def test_suffix_dedup_keeps_one_suffix_a_content():
+    """A line that a text repeats 2000 times gives as many suffixes as it has words at most, not a few for each time."""
+    rng = random.Random(2)
+    words = (textscan.words_of(*shared.utf8(pa.array([(prose(rng, 30) + "\n") * 2000])))[0][0] >> np.uint64(32)).astype("<u4")
+    at, grams, context = suffix_dedup.anchors(words)
+    assert len(at) > 2000 and len(np.unique(context)) <= 60 and len(np.unique(grams)) <= 30
 
 
 def test_suffix_dedup_real(spark, real):
-    want = brute_spans(real)
-    got = suffix_dedup.repeated_passages(shared.documents(spark, SF)).collect()
-    assert sum(bool(x) for x in want.values()) > 5
-    for r in got:
-        assert covered(r["spans"]) == {i for s, e in want[r["doc_id"]] for i in range(s, e)}
+    assert same_spans(suffix_dedup.repeated_passages(shared.documents(spark, SF)).collect(), real) > 5
 
 
 # ---- 3
@@ -175,6 +174,14 @@ def test_secrets(spark, docs, texts, empty):
     assert secrets.redacted(empty).count() == 0 and secrets.redacted(empty).columns == docs.columns
 
 
+def test_secrets_in_ascii_letters_alone():
+    """The long s and the Kelvin sign are no s and no k, whatever else the text holds, in search as in the index."""
+    texts = ["pa\u017f\u017fword=abcdefg1", "my token is pa\u017f\u017fword=abcdefg1", "to\u212aen = abcdefgh", "token to\u212aen = abcdefgh", "\u017fecret:abcdefgh toKEN = abcdefgh"]
+    scan = secrets.Scanner()
+    got = [[{"kind": secrets.RULES[i].kind, "start": s, "end": e} for s, i, e in x] for x in scan(pa.array(texts))]
+    assert got == [brute_secrets(t) for t in texts] and [len(x) for x in got] == [0, 0, 0, 0, 1]
+
+
 def test_trigram_queries():
     q = {r.kind: secrets.trigram_query(r.pattern) for r in secrets.RULES}
     assert q["hex"] is None and secrets._trigrams(q["access"]) == {"aki", "kia"}
@@ -189,78 +196,114 @@ def test_trigram_queries():
 
 # ---- 4
 
-def brute_kmers(text):
-    w = words_of(text)
-    k = [tuple(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)] if w else []
-    seen = Counter()
+def common_length(a, b):
+    """The longest common subsequence, by bits."""
+    places = defaultdict(int)
+    for i, x in enumerate(a):
+        places[x] |= 1 << i
+    full = v = (1 << len(a)) - 1
+    for y in b:
+        p = v & places.get(y, 0)
+        v = ((v + p) | (v - p)) & full
+    return len(a) - bin(v).count("1")
+
+
+def brute_pairs(rows):
+    """Pairs of rows (by place) of which 0.8 or more of the longer one's words are aligned; all pairs are looked at."""
+    ws = [words_of(t) for _, t in rows]
+    bags = [Counter(w) for w in ws]
     out = []
-    for x in k:
-        out.append((x, seen[x]))
-        seen[x] += 1
+    for a in range(len(ws)):
+        for b in range(a):
+            least = -(-8 * max(len(ws[a]), len(ws[b])) // 10)
+            if least and min(len(ws[a]), len(ws[b])) >= least and (ws[a] == ws[b] or sum((bags[a] & bags[b]).values()) >= least and common_length(ws[a], ws[b]) >= least):
+                out.append((b, a))
     return out
 
 
-def brute_aligned(a, b):
-    row = [0] * (len(b) + 1)
-    for x in a:
-        new = [0]
-        for j, y in enumerate(b):
-            new.append(row[j] + 1 if x == y else max(row[j + 1], new[-1]))
-        row = new
-    return row[-1]
-
-
-def brute_classes(rows):
-    ks = {d: brute_kmers(t) for d, t in rows}
-    sets = {d: set(k) for d, k in ks.items()}
-    parent = {d: d for d in ks}
+def brute_classes(rows, pairs):
+    parent = list(range(len(rows)))
 
     def top(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for a in ks:
-        for b in ks:
-            if a < b and ks[a] and ks[b] and len(sets[a] & sets[b]) >= order_minhash.needed(len(ks[a]), len(ks[b])):
-                if brute_aligned(ks[a], ks[b]) >= order_minhash.needed(len(ks[a]), len(ks[b])):
-                    parent[max(top(a), top(b))] = min(top(a), top(b))
-    return {d: top(d) for d in ks}
+    for a, b in pairs:
+        parent[max(top(a), top(b))] = min(top(a), top(b))
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[top(i)] = min([x for x in (d, least.get(top(i))) if x is not None], default=None)
+    return [least[top(i)] for i in range(len(rows))]
 
 
-def test_order_minhash(spark, docs, texts, empty, real):
+def test_order_minhash(spark, docs, texts, empty):
+    rows = [*enumerate(texts), (6, texts[6])]
     got = order_minhash.classes(docs).collect()
-    assert len(got) == len(texts) + 1
-    assert {r["doc_id"]: r["class_id"] for r in got} == brute_classes(list(enumerate(texts)))
-    assert {6: 6, 7: 6, 8: 6, 9: 9}.items() <= {r["doc_id"]: r["class_id"] for r in got}.items()
+    pairs = brute_pairs(rows)
+    assert sorted((r["doc_id"], r["class_id"]) for r in got) == sorted(zip((d for d, _ in rows), brute_classes(rows, pairs), strict=True))
+    assert {6: 6, 7: 6, 8: 6, 9: 6, 10: 10}.items() <= {r["doc_id"]: r["class_id"] for r in got}.items()
     assert order_minhash.classes(empty).count() == 0
     kept = order_minhash.one_of_each(docs)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted({r["class_id"] for r in got})
-    short = [(d, t) for d, t in real if len(t) < 6000]
-    got = {r["doc_id"]: r["class_id"] for r in order_minhash.classes(spark.createDataFrame(short, "doc_id long, text string")).collect()}
-    assert got == brute_classes(short) and len(set(got.values())) < len(got)
 
 
-def test_residual_blocks():
+def test_order_minhash_null_and_repeated_ids(spark):
+    rng = random.Random(4)
+    a, b = prose(rng, 40), prose(rng, 40)
+    rows = [(None, a), (None, a), (7, a + " more"), (3, b), (3, a), (5, "one"), (None, None), (None, None), (3, b), (None, prose(rng, 30))]
+    table = spark.createDataFrame([(d, t, i, "s") for i, (d, t) in enumerate(rows)], "doc_id long, text string, row int, salt string")
+    got = order_minhash.classes(table).collect()
+    assert sorted(map(repr, ((r["doc_id"], r["class_id"]) for r in got))) == sorted(map(repr, zip((d for d, _ in rows), brute_classes(rows, brute_pairs(rows)), strict=True)))
+    kept = order_minhash.one_of_each(table)
+    assert kept.columns == table.columns
+    have = sorted(r["row"] for r in kept.collect())
+    assert len(have) == 6 and {4, 5, 6, 7, 9} <= set(have) and len({3, 8} & set(have)) == 1
+
+
+def test_order_minhash_recall(spark):
+    """Of all pairs that an exhaustive alignment links, planted near copies of short and very long texts among them."""
+    rng = random.Random(6)
+    rows = [(r[0], r[1]) for r in shared.documents(spark, "/root/testdata/sf0.01").where("doc_id < 500").select("doc_id", "text").collect()]
+    for k, n in enumerate([30, 60, 100, 200, 400, 800, 12_000] * 4):
+        own = prose(rng, n).split(" ")
+        rows.append((10_000 + 2 * k, " ".join(own)))
+        share = rng.choice([0.02, 0.05, 0.1, 0.15])
+        rows.append((10_001 + 2 * k, " ".join(x if rng.random() > share else rng.choice(["", f"new{rng.randrange(999)}", x + " and"]) for x in own)))
+    pairs = brute_pairs(rows)
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = sum(got[rows[a][0]] == got[rows[b][0]] for a, b in pairs)
+    assert len(pairs) > 60 and found / len(pairs) >= 0.95
+    want = dict(zip((d for d, _ in rows), brute_classes(rows, pairs), strict=True))
+    assert all(want[d] == want[c] for d, c in got.items())  # nothing is linked that no alignment links
+
+
+def test_alignment():
+    rng = random.Random(8)
+    ready = lambda w: order_minhash.Text(np.array(w, "<u4").tobytes())
+    for _ in range(300):
+        a = [rng.randrange(50) for _ in range(rng.randrange(1, 60))]
+        b = [x for x in a for x in rng.choice([[x]] * 12 + [[], [x, rng.randrange(50)], [rng.randrange(50)]])]
+        if b:
+            assert order_minhash.alignment(ready(a), ready(b)) <= common_length(a, b) <= order_minhash.common_words(ready(a), ready(b))
+            assert order_minhash.alignment(ready(a), ready(a)) == len(a)
+    assert order_minhash.alignment(ready(list(range(1, 21))), ready([*range(1, 8), 77, *range(9, 16), 99, *range(16, 21)])) == 19
+
+
+def test_block_links():
     rng = random.Random(9)
     base = [rng.randrange(1 << 32) for _ in range(300)]
-    kmers = []
+    texts = []
     for i in range(40):
         own = list(base)
-        for j in rng.sample(range(300), i):
+        for j in rng.sample(range(300), 2 * i):
             own[j] = rng.randrange(1 << 32)
-        kmers.append(np.array(own, "<u4"))
-    parent = list(range(40))
-    top = lambda x: x if parent[x] == x else top(parent[x])
-    for a, b in order_minhash.links_between(list(range(40)), kmers, list(range(40)), [True] * 40):
-        parent[max(top(a), top(b))] = min(top(a), top(b))
-    mine = list(map(top, range(40)))
-    parent = list(range(40))
-    for a in range(40):
-        for b in range(a):
-            if len(set(kmers[a].tolist()) & set(kmers[b].tolist())) >= order_minhash.needed(300, 300):
-                parent[max(top(a), top(b))] = min(top(a), top(b))
-    assert mine == list(map(top, range(40))) and len(set(mine)) > 1
+        texts.append(own)
+    mine = order_minhash.links_between(list(range(40)), [order_minhash.Text(np.array(t, "<u4").tobytes()) for t in texts], list(range(40)), [True] * 40)
+    linked = lambda a, b: common_length(texts[a], texts[b]) >= 240
+    assert all(linked(a, b) for a, b in mine)
+    rows = [(i, None) for i in range(40)]
+    assert brute_classes(rows, mine) == brute_classes(rows, [(a, b) for b in range(40) for a in range(b) if linked(a, b)])
 
 
 def test_links_to_members_linked_before(spark):
@@ -269,28 +312,37 @@ def test_links_to_members_linked_before(spark):
         rng = random.Random(seed)
         base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
         first, third = list(base), list(base)
-        for i in range(3):
-            first[40 + 20 * i], third[240 + 20 * i] = f"a{i}", f"b{i}"
-        first[:25], third[-25:] = [f"c{i}" for i in range(25)], [f"d{i}" for i in range(25)]
+        first[:60], third[-60:] = [f"c{i}" for i in range(60)], [f"d{i}" for i in range(60)]
         rows = [(1, " ".join(first)), (3, " ".join(third)), (5, " ".join(base)), (9, prose(rng, 50))]
         got = {r["doc_id"]: r["class_id"] for r in order_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-        assert got == brute_classes(rows) == {1: 1, 3: 1, 5: 1, 9: 9}
+        assert got == {1: 1, 3: 1, 5: 1, 9: 9}
 
 
 def test_every_outsider_meets_every_member(spark, monkeypatch):
     """With blocks of three, each member outside a bucket's largest component shares a block with every member."""
     monkeypatch.setattr(order_minhash, "BLOCK", 3)
-    rows = [(7, n) for n in range(20)] + [(8, n) for n in range(4)]
-    linked = [(0, n) for n in range(1, 12)]
-    dealt, _ = order_minhash._open_rows(spark.createDataFrame(rows, "key long, node long"), spark.createDataFrame(linked, "a long, b long"))
+    members = spark.createDataFrame([(7, n) for n in range(20)] + [(8, n) for n in range(4)], "key long, node long")
+    known = components.components(spark.createDataFrame([(0, n) for n in range(1, 12)], "a long, b long"))
     blocks = {}
-    for r in dealt.collect():
+    for r in order_minhash._blocks(order_minhash._open(members, known)).collect():
         blocks.setdefault((r["key"], r["i"], r["j"]), []).append((r["node"], r["left"]))
     met = {(a, b) for members in blocks.values() for a, left in members if left for b, _ in members}
     assert {k[0] for k in blocks} == {7}
     assert {(a, b) for a in range(12, 20) for b in range(20)} <= met
 
 
+def test_many_unlike_texts_around_a_passage(spark, monkeypatch):
+    """Buckets of many outsiders are dealt anew by fresh sketches; similar texts in them still meet."""
+    monkeypatch.setattr(order_minhash, "BLOCK", 4), monkeypatch.setattr(order_minhash, "FEW", 1)
+    rng = random.Random(12)
+    word = lambda: f"q{rng.randrange(10**6)}"
+    passage = [word() for _ in range(60)]
+    rows = [(i, [word() for _ in range(20)] + passage + [word() for _ in range(20)]) for i in range(60)]
+    rows += [(100 + i, [x if rng.random() > 0.04 else word() for x in rows[i][1]]) for i in range(10)]
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.classes(spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")).collect()}
+    assert got == {**{i: i for i in range(60)}, **{100 + i: i for i in range(10)}}
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(0, 40)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(45)] + [(200, 201 + i) for i in range(30)]
@@ -335,10 +387,11 @@ def test_token_counts(spark, docs, texts, empty):
     pieces, pattern = token_counts.read_pieces(P.path("word_bpe_49k.json"))
     with open(P.path("word_bpe_49k.json")) as f:
         assert pattern in json.dumps(json.load(f), ensure_ascii=False).replace("\\\\", "\\")
+    assert token_counts.marked(b"the") in pieces and (*b"the",) in pieces and token_counts.marked(b"") == ()
     want = {}
     for i, t in enumerate(texts):
         w = regex.findall(pattern, unicodedata.normalize("NFC", t or "").lower())
-        want[i] = (len(w), sum(brute_count(x.encode(), pieces, pieces) for x in w))
+        want[i] = (len(w), sum(brute_count(token_counts.marked(x.encode()), pieces, pieces) for x in w))
     assert {r[0]: (r[1], r[2]) for r in token_counts.token_counts(docs, P.path("word_bpe_49k.json")).collect()} == want
     assert token_counts.token_counts(empty, P.path("word_bpe_49k.json")).count() == 0
 
@@ -376,6 +429,19 @@ def test_code_lengths():
             assert got[i, k] == pytest.approx(brute_bits(samples[lang], t), rel=1e-5)
     assert (got[4:] == 0).all()
     assert judge(pa.array(["12 !", None, "", "the cat"]))[0] == ["und", "und", "und", "a"]
+    judge.step = 3  # a text goes through in steps
+    assert np.allclose(judge.code_lengths(pa.array([*tests, "", None])), got)
+
+
+def test_language_of_long_texts(spark):
+    """Every text of a language is long: it is learned as any other, from pieces of whole texts."""
+    rng = random.Random(3)
+    speak = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    rows = [(i, "aa", speak("abcdefgh", 50)) for i in range(30)] + [(100 + i, "zz", speak("qrstuvwx", 9000)) for i in range(8)] + [(None, "aa", None), (None, None, "x"), (7, "nn", None)]
+    samples = language_id.sampled(spark.createDataFrame(rows, "doc_id long, lang string, text string"), docs=5, chars=2000)
+    assert {k: len(v) for k, v in samples.items()} == {"aa": 5, "zz": 5} and all(1500 < len(t) < 2100 for t in samples["zz"])
+    out = language_id.identified(spark.createDataFrame(rows, "doc_id long, lang string, text string"), language_id.fit(samples)).collect()
+    assert {(r["doc_id"], r["lang_pred"]) for r in out if r["doc_id"] is not None and r["doc_id"] != 7} == {(d, x) for d, x, t in rows if d is not None and d != 7}
 
 
 def test_language_id(spark, docs, texts, empty):
@@ -402,7 +468,7 @@ def brute_contamination(rows, items):
             for j in range(len(w) - size + 1) if windows else ():
                 if tuple(w[j : j + size]) in windows:
                     hit[j : j + size] = [True] * size
-                    found.add(str(i))
+                    found |= set() if i is None else {str(i)}
         out[d] = (len(w), sum(hit), sorted(found))
     return out
 
@@ -410,13 +476,17 @@ def brute_contamination(rows, items):
 @pytest.mark.parametrize("limit", [1 << 20, 0])
 def test_decontaminate(spark, docs, texts, empty, limit):
     w = texts[6].split(" ")
-    items = [(1, " ".join(w[5:30])), (2, " ".join(w[5:14])), (10, " ".join(["x", *w[40:49], "y"])), (3, " ".join(["pre", *w[60:70], *w[50:60], *w[80:95]])), (4, "loop " * 14), (5, "one TWO three"), (6, None), (7, "!?"), (8, "nowhere to be found here at all in any of these")]
+    items = [(1, " ".join(w[5:30])), (2, " ".join(w[5:14])), (10, " ".join(["x", *w[40:49], "y"])), (3, " ".join(["pre", *w[60:70], *w[50:60], *w[80:95]])), (4, "loop " * 14), (5, "one TWO three"), (6, None), (7, "!?"), (8, "nowhere to be found here at all in any of these"), (None, " ".join(w[2:13]))]
     bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, row string")
     size = lambda spans: sum(s["end"] - s["start"] for s in spans)
     got = [(r["doc_id"], (r["n_words"], size(r["hit_ranges"]), r["item_ids"])) for r in decontaminate.contamination(docs, bench, limit).collect()]
     want = brute_contamination(enumerate(texts), items)
     assert len(got) == len(texts) + 1 and dict(got) == want and sum(bool(x[2]) for x in want.values()) >= 5
-    assert decontaminate.contamination(empty, bench, limit).count() == 0
+    assert decontaminate.contamination(empty, bench, limit).count() == 0 and decontaminate.decontaminated(empty, bench, limit).columns == empty.columns
+    clean = decontaminate.decontaminated(docs, bench, limit)
+    assert clean.columns == docs.columns and sorted(r["doc_id"] for r in clean.collect()) == sorted(d for d, x in got if not x[1])
+    odd = spark.createDataFrame([(None, texts[6]), (None, "clean"), (4, texts[6]), (4, "clean too"), (None, None)], "doc_id long, text string")
+    assert sorted(r["text"] or "" for r in decontaminate.decontaminated(odd, bench, limit).collect()) == ["", "clean", "clean too"]
     assert all(not r["item_ids"] for r in decontaminate.contamination(docs, bench.limit(0), limit).collect())
 
 
@@ -522,6 +592,79 @@ def test_chat_format(spark):
     assert chat_format.digests(chat_format.formatted(table.limit(0))).count() == 0
 
 
+# ---- hashes and long texts
+
+def thue_morse(n):
+    s = "a"
+    while len(s) < n:
+        s += s.translate({97: "b", 98: "a"})
+    return s, s.translate({97: "b", 98: "a"})
+
+
+def test_words_that_collide_under_powers(spark):
+    """Words of 1024 and 4096 letters and their complements: one letter's place weighs a power in many simple hashes."""
+    import tiktoken
+
+    words = [*thue_morse(1024), *thue_morse(4096)]
+    column = pa.array([" ".join(words), *words])
+    hashes, digests = textscan.words_of(*shared.utf8(column))
+    assert len(set(hashes[0].tolist())) == 4 and len(set(digests)) == 5 and len({int(h) >> 32 for h in hashes[0].tolist()}) == 4
+    with open(P.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    t = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ids, ends = piece_bpe.Codec(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).encode(column)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [t.encode_ordinary(x) for x in column.to_pylist()]
+    rows = list(enumerate(column.to_pylist()))
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    manifest = packed_ids.write(table, shared.fresh_dir(spark, "thue"), P.path("byte_bpe_50k.json"), partitions=1)
+    assert sorted(map(tuple, packed_ids.read(spark, manifest).collect())) == expected_ids(rows)
+    assert {r["class_id"] for r in order_minhash.classes(table).collect()} == {0, 1, 2, 3, 4}
+    pieces, _ = token_counts.read_pieces(P.path("word_bpe_49k.json"))
+    counts = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(table, P.path("word_bpe_49k.json")).collect()}
+    assert counts == {i: sum(brute_count(token_counts.marked(w.encode()), pieces, pieces) for w in x.split(" ")) for i, x in rows}
+    assert quality.measures(pa.array([" ".join(words[:2] * 3 + words[2:] * 5)]), None)["n_repeat_words"][0] == brute_measures(" ".join(words[:2] * 3 + words[2:] * 5))["n_repeat_words"]
+    assert quality.measures(pa.array([" ".join([words[0]] * 8 + [words[1]] * 8)]), None)["n_repeat_words"][0] == 0
+    long = [(1, " ".join([words[0]] * 60)), (2, " ".join([words[1]] * 60))]
+    assert same_spans(suffix_dedup.repeated_passages(spark.createDataFrame(long, "doc_id long, text string")).collect(), long) == 0
+
+
+def test_very_long_text():
+    """A text of 12 MB with 1,700,000 distinct words."""
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    text = " ".join(map(str, range(1_700_000)))
+    column = pa.array(["before", text, "after"])
+    ids, ends = packed_ids.tokenizer_chunks(P.path("byte_bpe_50k.json"))(*shared.utf8(column))
+    assert ids[ends[1] : ends[2]].tolist() == Tokenizer.from_file(P.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+    with open(P.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    ids, ends = piece_bpe.Codec(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).encode(column)
+    assert ids[ends[1] : ends[2]].tolist() == tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary(text)
+    values, ends = token_counts._counter(P.path("word_bpe_49k.json"))(*shared.utf8(column))
+    words = values.reshape(-1, 2)[ends[1] // 2 : ends[2] // 2].sum(axis=0)
+    pieces, pattern = token_counts.read_pieces(P.path("word_bpe_49k.json"))
+    automaton, found = token_counts.LongestMatch(pieces, pieces), __import__("regex").findall(pattern, text)
+    assert words.tolist() == [len(found), sum(automaton.count(token_counts.marked(x.encode())) for x in found)]
+
+
+def test_added_tokens():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "a  <|endoftext|>  b", "<|endoftext|><|endoftext|>x\n", "<|endof", "text|> \n <|endoftext|>\n\n a", "\u3000<|endoftext|>\u3000 x", None, ""]
+    ids, ends = packed_ids.tokenizer_chunks(P.path("byte_bpe_50k.json"))(*shared.utf8(pa.array(texts)))
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert 50256 in ids
+
+
+def test_spread_pieces(spark):
+    rows = spark.createDataFrame([("abc",), ("".join(chr(97 + i % 26) for i in range(1000)),), (None,)], "t string").select(shared.spread_pieces(F.col("t"), 80).alias("x")).collect()
+    assert rows[0][0] == "abc" and rows[2][0] is None
+    parts = rows[1][0].split("\n")
+    assert len(parts) == 8 and all(len(p) == 10 for p in parts) and parts[0] == "abcdefghij" and parts[-1] == "cdefghijkl"
+
+
 # ---- kernels and the pipeline
 
 def test_chunks():
@@ -569,6 +712,23 @@ def test_pipeline(spark):
     assert not any(brute_secrets(t) for t in clean.values())
 
 
+def test_pipeline_odd_rows(spark, texts):
+    """Null and repeated doc_ids, empty tables and clashing names go through every stage."""
+    import corpus_pipeline
+
+    good = next(t for t in shared.documents(spark, SF).select("text").toPandas().text if 100 < len(t.split()) < 500)
+    rows = [(None, good), (None, good), (4, good + " end"), (4, None), (None, ""), (9, texts[-1]), (None, None)]
+    table = spark.createDataFrame([(d, t, "x", 1, 2.0) for d, t in rows], "doc_id long, text string, row string, __kept int, __bad double")
+    for start in (table, table.limit(0)):
+        step = start
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            step = shared.written(stage(spark, step, SF), "odd")
+            assert step.columns == table.columns
+        out = corpus_pipeline.STAGES[-1][1](spark, step, SF).collect()
+        assert all(r["restored"] for r in out)
+        assert [r["doc_id"] for r in out if r["n_tokens"] > 100] in ([4], []) and len(out) <= 2
+
+
 def test_queries_against_sql(spark):
     import os
 
