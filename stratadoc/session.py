@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -17,5 +18,6 @@ def ship(spark: SparkSession) -> None:
     if root in {os.path.realpath(p) for p in known if p} or getattr(context, "_stratadoc_shipped", False):
         return
     folder = tempfile.mkdtemp(prefix="stratadoc-zip-")  # the driver serves this file itself
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.addPyFile(shutil.make_archive(os.path.join(folder, "stratadoc"), "zip", root, "stratadoc"))
     context._stratadoc_shipped = True
