@@ -50,14 +50,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``df`` written like ``written``, dealt by key over as many buckets as a shuffle has partitions: joins on the key
+    then shuffle the other side alone."""
+    spark = df.sparkSession
+    path, table = fresh_dir(spark, name), f"stratadoc_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    out._stratadoc_path, out._stratadoc_table = path, table
+    return out
+
+
 def remove(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes tables of ``written`` that nothing still to run reads."""
+    """Deletes tables of ``written`` and ``bucketed`` that nothing still to run reads."""
     for t in tables:
+        if hasattr(t, "_stratadoc_table"):
+            t.sparkSession.sql(f"DROP TABLE IF EXISTS {t._stratadoc_table}")
         remove(t.sparkSession, t._stratadoc_path)
 
 
