@@ -96,21 +96,21 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("row", F.monotonically_increasing_id())
 
 
-#: Parts that a key is dealt over where very many rows may have it.
+#: Parts that a key is dealt over where very many rows may have it (at most as many as a long has bits).
 SALTS = 64
 
 
-def salted_join(rows: DataFrame, key: str, unique: str, **aggregates: Column) -> DataFrame:
+def salted_join(rows: DataFrame, key: str, unique: str, where: str | None = None, **aggregates: Column) -> DataFrame:
     """``rows`` with aggregates over their key, in whose join no key meets in one place.
 
-    A key's rows are dealt by salt (a hash of the column ``unique``), first for the aggregates (to be given by functions
-    that are the same over parts and over all: min, max, sum of sums), then for the join.
+    The aggregates are partial before they are shuffled, and tell by a bit each what salts (a hash of the column
+    ``unique``) a key's rows have; the join is by key and salt.  Keys whose aggregates fail ``where`` are left out.
     """
     salted = rows.withColumn("salt", F.pmod(F.xxhash64(unique), F.lit(SALTS)).cast("int"))
-    parts = salted.groupBy(key, "salt").agg(*(c.alias(n) for n, c in aggregates.items()))
-    again = {n: {"min": F.min, "max": F.max, "sum": F.sum}[n.split("_")[0]](n).alias(n) for n in aggregates}
-    whole = parts.groupBy(key).agg(*again.values(), F.collect_list("salt").alias("salts"))
-    return salted.join(whole.withColumn("salt", F.explode("salts")).drop("salts"), [key, "salt"]).drop("salt")
+    whole = salted.groupBy(key).agg(*(c.alias(n) for n, c in aggregates.items()), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts"))
+    whole = whole.where(where) if where else whole
+    dealt = whole.withColumn("salt", F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), s -> (shiftright(salts, s) & 1L) = 1L)"))).drop("salts")
+    return salted.join(dealt, [key, "salt"]).drop("salt")
 
 
 def salted_lookup(rows: DataFrame, key: str, unique: str, table: DataFrame, how: str = "left") -> DataFrame:

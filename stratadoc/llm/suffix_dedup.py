@@ -247,8 +247,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     long = found.where("digest IS NOT NULL").select("row", "doc", "digest")
     copies = shared.salted_join(long, "digest", "row", min_row=F.min("row"), min_doc=F.min("doc"), max_doc=F.max("doc"))
     of = shared.written(copies.select("row", F.col("min_row").alias("node"), (F.col("min_doc") < F.col("max_doc")).alias("copied")), "passage-nodes")
-    grams = found.select("row", F.explode("grams").alias("g")).select("row", "g.gram", "g.n").join(of.where("row = node").select("row"), "row", "left_semi")
-    often = shared.salted_join(grams, "gram", "row", min_row=F.min("row"), max_row=F.max("row"), sum_n=F.sum("n")).where("min_row < max_row")
+    grams = found.select("row", "grams").join(of.where("row = node").select("row"), "row", "left_semi").select("row", F.explode("grams").alias("g")).select("row", "g.gram", "g.n")
+    often = shared.salted_join(grams, "gram", "row", "min_row < max_row", min_row=F.min("row"), max_row=F.max("row"), sum_n=F.sum("n"))
     wanted = often.groupBy("row").agg(F.collect_list(F.struct("gram", F.col("sum_n").alias("n"))).alias("wanted"))
     suffixes = found.select("row", "doc", "words").join(wanted, "row").mapInArrow(_suffixes, _SUFFIXES)
     spans = shared.written(suffixes.repartition("gram", "block").sortWithinPartitions("gram", "block").mapInArrow(_matched, _FOUND), "spans")
