@@ -28,6 +28,8 @@ SUMMARY_ENTRY = r"(?U)\.{2,}\s*\d+\s*$|^\s*\d+(?:\.\d+)*\s+.+\s+\d+\s*$"
 HEADING_LABELS, VISUAL_LABELS = ("title", "section_header"), ("picture", "image", "figure", "graphic")
 EDGE_LABELS = ("header", "footer", "page_header", "page_footer")
 FRONT = "front_matter"
+#: Columns that tell of a line's looks.
+VISUAL = ("bold", "is_bold", "strong", "font_weight", "font_size", "body_font_size", "font_size_rank", "visual_role", "role", "spacing_before")
 
 
 def _clause(text: Column, group: int) -> Column:
@@ -106,11 +108,14 @@ def admin_signals(text: Column) -> Column:
 
 
 def visual_evidence(b: dict[str, Column], text: Column) -> Column:
-    """Three signals or more: heading label or type, capitals, bold, larger font, heading role.
+    """Three signals or more: heading label or type, capitals, bold, a heavy or a larger font, a high rank of it, heading
+    role, space before.
 
-    b: columns label, content_type, is_bold, font_size, body_font_size, visual_role.
+    b: columns label, content_type and those of ``VISUAL``.
     """
-    signals = [b["label"].isin(*HEADING_LABELS) | b["content_type"].isin("title", "heading"), tx.upper_heading(text), b["is_bold"], b["font_size"] > b["body_font_size"], b["visual_role"] == "heading"]
+    flag = lambda *names: F.coalesce(*(F.when(b[n], True) for n in names), F.lit(False))
+    heading = F.coalesce(b["visual_role"] == "heading", F.lit(False)) | F.coalesce(b["role"] == "heading", F.lit(False))
+    signals = [b["label"].isin(*HEADING_LABELS) | b["content_type"].isin("title", "heading"), tx.upper_heading(text), flag("bold", "is_bold", "strong"), b["font_weight"] >= 600, b["font_size"] > b["body_font_size"], b["font_size_rank"].isin("largest", "large", "heading"), heading, b["spacing_before"] > 0]
     return sum((F.coalesce(s, F.lit(False)).cast("int") for s in signals), F.lit(0)) >= 3
 
 

@@ -221,6 +221,52 @@ def document_region(explicit: Column, section_path: Column, front: Column) -> Co
     return F.coalesce(F.nullif(explicit, F.lit("")), F.when(is_front, hd.FRONT))
 
 
+#: Fields of a record that an index item's metadata takes over, in order; fixed values.
+AUDITED = (
+    "chunk_type", "source_chunk_id", "source_child_chunk_id", "source_table_chunk_id", "parent_chunk_id", "section_root_chunk_id", "page_start", "page_end", "page_total", "section_path", "section_title", "subsection_title", "clause_number", "clause_path",
+    "source_block_ids", "source_spans", "related_assets", "content_types", "previous_chunk_id", "next_chunk_id", "sibling_chunk_ids", "fragment_index", "fragment_total", "table_fragment_index", "table_fragment_total", "table_quality", "table_structure",
+)
+_LISTS = ("section_path", "source_block_ids", "source_spans", "related_assets", "content_types", "clause_path")
+
+
+def audit_metadata(records: DataFrame) -> Column:
+    """The metadata of an index item: the record's own metadata, overlaid by what audited fields it has; pages fall back on
+    page_no, lists on empty ones.  A field that is there but null counts as missing, as columns are typed."""
+    have = set(records.columns)
+    inner = {f.name for f in records.schema["metadata"].dataType} if "metadata" in have else set()
+    out = {f: F.col("metadata")[f] for f in inner}
+    for field in AUDITED:
+        found = [F.col(field)] if field in have else []
+        found += [out[field]] if field in out else []
+        found += [F.col("page_no")] if field in ("page_start", "page_end") and "page_no" in have else []
+        if found and field in _LISTS:
+            found.append(F.slice(found[0], 1, 0))
+        value = F.coalesce(*found) if found else F.array().cast("array<string>") if field in _LISTS else F.lit(None).cast("string")
+        if field in _LISTS and found:
+            value = F.coalesce(value, F.array())
+        out[field] = value
+    return F.struct(*(v.alias(k) for k, v in out.items()))
+
+
+def source_metadata(region: Column, block_ids: Column, parent_block_ids: Column) -> Column:
+    """What a record tells of its source: the blocks, those of the whole source where they are more, the region, and
+    whether it is front matter."""
+    narrowed = F.when(block_ids != parent_block_ids, parent_block_ids)
+    return F.struct(block_ids.alias("source_block_ids"), narrowed.alias("parent_source_block_ids"), region.alias("document_region"), F.when(region == hd.FRONT, True).alias("is_front_matter"))
+
+
+def span_pages(spans: Column, page_start: Column, page_end: Column, page_no: Column) -> Column:
+    """Page range of spans (page_start, page_end, page_no), else that of the source; and where it comes from."""
+    known = lambda c: F.nullif(c, F.lit(0))
+    ends = F.filter(F.flatten(F.transform(spans, lambda s: F.array(F.coalesce(known(s["page_start"]), s["page_no"]), F.coalesce(known(s["page_end"]), s["page_no"])))), lambda p: p.isNotNull())
+    some = F.size(ends) > 0
+    return F.struct(
+        F.when(some, F.array_min(ends)).otherwise(F.coalesce(known(page_start), page_no)).alias("page_start"),
+        F.when(some, F.array_max(ends)).otherwise(F.coalesce(known(page_end), page_no)).alias("page_end"),
+        F.when(some, "derived_from_source_spans").otherwise("inherited_from_source_chunk").alias("page_range_strategy"),
+    )
+
+
 def embedded(records: DataFrame, load, dimension_type: str = "double") -> DataFrame:
     """Adds an embedding by a model that ``load`` gives once for each Python worker; one vector a text or ValueError."""
 

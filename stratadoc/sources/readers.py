@@ -5,6 +5,8 @@ Adapters are columns (Markdown, JSON nodes) or one Arrow pass (HTML); a registry
 
 from __future__ import annotations
 
+import dataclasses
+import enum
 import html
 import json
 import re
@@ -15,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import headings as hd
 from ..functions import text as tx
 from ..operators import blocks as bl
 
@@ -64,8 +67,65 @@ def evaluation_cases(spark: SparkSession, path: str) -> DataFrame:
     return doc.select("name", "default_top_k", F.explode("cases").alias("c")).select("name", "default_top_k", F.col("c.id").alias("case_id"), "c.question", F.col("c.expected.source_chunk_ids").alias("expected_source_ids"), F.col("c.expected.chunk_ids").alias("expected_chunk_ids"), F.col("c.expected.section_paths").alias("section_paths"), F.col("c.expected.pages").alias("pages"))
 
 
+def default_input_path(spark: SparkSession, folder: str = ".") -> str:
+    """rag_chunks.jsonl of a folder if it is there, else parsed_sections.jsonl."""
+    path = f"{folder.rstrip('/')}/rag_chunks.jsonl"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p) else f"{folder.rstrip('/')}/parsed_sections.jsonl"
+
+
 # ---- adapters
 
+#: Fixed labels that carry content, and names of a box's sides.
+CONTENT_LABELS = ("text", "list_item", "code", "formula", "caption", "footnote", "table", "picture", "image", "figure", "graphic", "section_header", "title")
+SIDES = {"x0": ("l", "left", "x0"), "y0": ("t", "top", "y0"), "x1": ("r", "right", "x1"), "y1": ("b", "bottom", "y1")}
+
+
+def bounding_box(box: Column, names: list[str]) -> Column:
+    """x0, y0, x1, y1 and coord_origin of a struct whose sides have any of the usual names; null without a side."""
+    side = lambda c: F.coalesce(*(box[n].cast("double") for n in SIDES[c] if n in names), F.lit(None).cast("double"))
+    origin = box["coord_origin"].cast("string") if "coord_origin" in names else F.lit(None).cast("string")
+    return F.when(F.coalesce(*(side(c) for c in SIDES)).isNotNull(), F.struct(*(side(c).alias(c) for c in SIDES), origin.alias("coord_origin")))
+
+
+def native_blocks(items: DataFrame) -> DataFrame:
+    """Blocks of a parser's items (document_id, ord, label, level, text, markdown, page_no, bbox): those of content labels in
+    order, numbered anew.  Text falls back on Markdown; a visual item has none; others without text are dropped."""
+    names = [f.name for f in items.schema["bbox"].dataType] if "bbox" in items.columns else []
+    label = F.lower("label")
+    text = F.coalesce(F.nullif(tx.plain(F.coalesce("text", F.lit(""))), F.lit("")), F.nullif(F.trim("markdown"), F.lit("")), F.lit(""))
+    visual = label.isin(*hd.VISUAL_LABELS)
+    out = items.where(label.isin(*CONTENT_LABELS)).withColumns({"label": label, "text": F.when(visual, "").otherwise(text), "markdown": F.when(label == "table", F.trim("markdown")), "bbox": bounding_box(F.col("bbox"), names) if names else F.lit(None).cast("struct<x0:double,y0:double,x1:double,y1:double,coord_origin:string>")})
+    out = out.where(F.col("label").isin(*hd.VISUAL_LABELS) | (F.col("text") != ""))
+    return out.withColumn("sequence_no", F.row_number().over(Window.partitionBy("document_id").orderBy("ord"))).select("document_id", "sequence_no", "label", "level", "text", "markdown", "page_no", "bbox")
+
+
+def first_export(source: object, methods: list[str]) -> tuple[object, str | None, list[str]]:
+    """The value of the first method of a parser's result that gives one, the method's name, and what went wrong before."""
+    warnings = []
+    for name in methods:
+        method = getattr(source, name, None)
+        if not callable(method):
+            continue
+        try:
+            return method(), name, warnings
+        except Exception as e:  # a foreign parser may raise anything; the next method is tried
+            warnings.append(f"{name} failed: {e}")
+    return None, None, warnings
+
+
+def plain_value(value: object) -> object:
+    """A value as JSON holds it: paths and other objects as text, sets and tuples as lists, keys as text."""
+    if value is None or isinstance(value, str | int | float | bool):
+        return value.value if isinstance(value, enum.Enum) else value
+    if dataclasses.is_dataclass(value) and not isinstance(value, type):
+        return plain_value(dataclasses.asdict(value))
+    if isinstance(value, dict):
+        return {str(k): plain_value(v) for k, v in value.items()}
+    if isinstance(value, list | tuple | set):
+        return [plain_value(v) for v in value]
+    return str(value.value if isinstance(value, enum.Enum) else value)
+
 def markdown_blocks(markdown: Column) -> Column:
     """Blocks of Markdown: parts between blank lines; # makes a heading, an inline image a figure without text."""
     parts = F.filter(F.transform(F.split(markdown, "\n\n"), lambda p: F.trim(p)), lambda p: p != "")
@@ -194,6 +254,22 @@ def data_uri_bytes(uri: Column) -> Column:
     return F.when(body != "", F.unbase64(body))
 
 
+#: Fixed extensions of image types.
+EXTENSIONS = {"image/jpeg": ".jpg", "image/jpg": ".jpg", "image/png": ".png", "image/webp": ".webp", "image/gif": ".gif"}
+
+
+def stored_figures(figures: DataFrame, prefix: str = "images") -> DataFrame:
+    """Figures (document_id, sequence_no, page_no, uri) with a data URI as assets: asset_id, asset_uri and the image's bytes,
+    numbered in each document in reading order.  The bytes stay a column, to be written as any table is."""
+    mime = F.lower(F.regexp_extract("uri", r"^data:([^;,]*)", 1))
+    number = F.row_number().over(Window.partitionBy("document_id").orderBy("sequence_no"))
+    extension = F.coalesce(F.create_map(*(F.lit(x) for pair in EXTENSIONS.items() for x in pair))[mime], F.lit(".png"))
+    held = figures.withColumn("content", data_uri_bytes(F.col("uri"))).where("content IS NOT NULL").withColumn("n", number)
+    name = F.concat(F.format_string("page_%03d_figure_%03d", F.coalesce("page_no", F.lit(0)), F.col("n")), extension)
+    place = F.concat(F.lit(prefix.strip("/") + "/"), name) if prefix.strip("/") else name
+    return held.select("document_id", "sequence_no", "page_no", F.format_string("fig_%03d", "n").alias("asset_id"), place.alias("asset_uri"), F.lit("image").alias("asset_type"), mime.alias("mime_type"), "content")
+
+
 def unescaped(text: str) -> str:
     return html.unescape(text)
 
