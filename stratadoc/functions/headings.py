@@ -64,19 +64,21 @@ def named(text: Column) -> Column:
     return text.rlike(LEGAL) | text.rlike(ANNEX)
 
 
-def body_marker(text: Column) -> Column:
-    level = clause_level(clause_number(text))
+def body_marker(text: Column, number: Column | None = None) -> Column:
+    """``number``, here and below: the text's clause number where it is a column already."""
+    level = clause_level(clause_number(text) if number is None else number)
     return F.coalesce(level <= 2, F.lit(False)) | named(text)
 
 
-def heading_kind(text: Column) -> Column:
+def heading_kind(text: Column, number: Column | None = None) -> Column:
     """section, subsection or null."""
-    level = clause_level(clause_number(text))
+    level = clause_level(clause_number(text) if number is None else number)
     return F.when(named(text) | (level == 0), "section").when(level <= 2, "subsection")
 
 
-def heading_score(label: Column, text: Column) -> Column:
-    level, body = clause_level(clause_number(text)), clause_body(text)
+def heading_score(label: Column, text: Column, number: Column | None = None, body: Column | None = None) -> Column:
+    level = clause_level(clause_number(text) if number is None else number)
+    body = clause_body(text) if body is None else body
     points = lambda cond, n: F.when(cond, n).otherwise(0)
     colon = text.endswith(":")
     score = (
@@ -92,12 +94,13 @@ def heading_score(label: Column, text: Column) -> Column:
     return F.when(named(text), 5).otherwise(score)
 
 
-def content_type(label: Column, text: Column) -> Column:
+def content_type(label: Column, text: Column, number: Column | None = None) -> Column:
+    number = clause_number(text) if number is None else number
     return (
         F.when(label.isin(*VISUAL_LABELS), "figure")
         .when(label.isin("table", "caption", "footnote"), label)
-        .when(body_marker(text) | tx.upper_heading(text), "title")
-        .when((label == "list_item") | clause_number(text).isNotNull(), "list_item")
+        .when(body_marker(text, number) | tx.upper_heading(text), "title")
+        .when((label == "list_item") | number.isNotNull(), "list_item")
         .otherwise("paragraph")
     )
 
@@ -113,15 +116,15 @@ def visual_evidence(b: dict[str, Column], text: Column) -> Column:
 
     b: columns label, content_type and those of ``VISUAL``.
     """
-    flag = lambda *names: F.coalesce(*(F.when(b[n], True) for n in names), F.lit(False))
+    flag = lambda *names: F.coalesce(*(F.when(b[n].cast("boolean"), True) for n in names), F.lit(False))
     heading = F.coalesce(b["visual_role"] == "heading", F.lit(False)) | F.coalesce(b["role"] == "heading", F.lit(False))
     signals = [b["label"].isin(*HEADING_LABELS) | b["content_type"].isin("title", "heading"), tx.upper_heading(text), flag("bold", "is_bold", "strong"), b["font_weight"] >= 600, b["font_size"] > b["body_font_size"], b["font_size_rank"].isin("largest", "large", "heading"), heading, b["spacing_before"] > 0]
     return sum((F.coalesce(s, F.lit(False)).cast("int") for s in signals), F.lit(0)) >= 3
 
 
-def front_matter_like(text: Column, label: Column, repeated: Column, evidence: Column) -> Column:
+def front_matter_like(text: Column, label: Column, repeated: Column, evidence: Column, number: Column | None = None) -> Column:
     """Lines of covers, contents and contacts rather than of the body."""
-    marker, admin = body_marker(text), admin_signals(text)
+    marker, admin = body_marker(text, number), admin_signals(text)
     return (
         (text == "")
         | F.coalesce(label.isin(*EDGE_LABELS), F.lit(False))
@@ -136,5 +139,5 @@ def section_title_like(text: Column) -> Column:
     return (text != "") & (F.length(text) <= 220) & (tx.word_count(text) <= 28) & text.rlike(r"\p{L}")
 
 
-def body_start(text: Column, label: Column, repeated: Column, evidence: Column) -> Column:
-    return section_title_like(text) & ~front_matter_like(text, label, repeated, evidence) & body_marker(text)
+def body_start(text: Column, label: Column, repeated: Column, evidence: Column, number: Column | None = None) -> Column:
+    return section_title_like(text) & body_marker(text, number) & ~front_matter_like(text, label, repeated, evidence, number)

@@ -6,6 +6,8 @@ chunk_id, source_chunk_id, rank).  A case is matched on source ids if it names a
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,31 @@ def validate_cases(cases: DataFrame) -> DataFrame:
     return cases
 
 
+def validate_dataset(dataset: dict) -> dict:
+    """An evaluation set as read from JSON; raises at the first field that is missing or of the wrong kind."""
+    for field in ("schema_version", "name", "cases"):
+        if field not in dataset:
+            raise ValueError(f"evaluation set without {field}")
+    if not isinstance(dataset["cases"], list):
+        raise ValueError("cases of an evaluation set are a list")
+    for n, case in enumerate(dataset["cases"], 1):
+        if not isinstance(case, dict):
+            raise ValueError(f"case {n} is no object")
+        name = case.get("id") or n
+        if missing := [f for f in ("id", "question", "expected") if f not in case]:
+            raise ValueError(f"case {name} without {missing[0]}")
+        if not isinstance(case["expected"], dict):
+            raise ValueError(f"expected of case {name} is no object")
+        if not any(case["expected"].get(f) for f in ("source_chunk_ids", "chunk_ids")):
+            raise ValueError(f"case {name} names no expected source_chunk_ids or chunk_ids")
+    return dataset
+
+
+def printed(metrics: dict) -> str:
+    """The summary as one JSON object."""
+    return json.dumps(metrics)
+
+
 def ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(0.0)
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import work
 from . import assets, blocks, chunks, report
 
 
@@ -19,12 +20,16 @@ class Parsed:
 
 
 def process(source: DataFrame, config: chunks.ChunkConfig = chunks.ChunkConfig(), parser_name: str = "stratadoc", source_name: Column | None = None) -> Parsed:
-    """Blocks of a parser (a row each) through normalisation, sections, chunks and figure links to the report."""
+    """Blocks of a parser (a row each) through normalisation, sections, chunks and figure links to the report.
+
+    Blocks and chunks, which all that follows reads, are written to the shared folder.
+    """
     known = blocks.with_sections(blocks.normalized(source))
     for name, kind in {"bbox": "struct<x0:double,y0:double,x1:double,y1:double>", "asset_id": "string", "asset_uri": "string"}.items():
         if name not in known.columns:
             known = known.withColumn(name, F.lit(None).cast(kind))
-    built = chunks.built(known, config)
+    known = work.written(known, "blocks")
+    built = work.written(chunks.built(known, config), "chunks")
     groups = chunks.grouped(known, config).select("document_id", "block_id", "group_no")
     placed = known.join(groups, ["document_id", "block_id"], "left")
     links = assets.linked(placed, assets.decorative(placed), config.max_asset_distance)

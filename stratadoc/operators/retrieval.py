@@ -43,8 +43,8 @@ def term_frequencies(chunks: DataFrame, terms: DataFrame | None = None) -> DataF
     return exploded.groupBy("chunk_id", "term").agg(F.count("*").alias("tf"))
 
 
-def chunk_lengths(chunks: DataFrame) -> DataFrame:
-    return chunks.select("chunk_id", F.size(tx.tokens(F.coalesce("content", F.lit("")))).alias("length"))
+def chunk_lengths(chunks: DataFrame, *more: str) -> DataFrame:
+    return chunks.select("chunk_id", *more, F.size(tx.tokens(F.coalesce("content", F.lit("")))).alias("length"))
 
 
 def corpus_stats(lengths: DataFrame) -> DataFrame:
@@ -72,7 +72,8 @@ def bm25(queries: DataFrame, chunks: DataFrame, k: int | None = TOP_K, k1: float
     if k1 <= 0 or not 0 <= b <= 1:
         raise ValueError("k1 must be positive and b between 0 and 1")
     asked = query_terms(queries)
-    lengths = chunk_lengths(chunks)
+    order = [c for c in ("ord",) if c in chunks.columns]  # ties go by the order of insertion, where it is known
+    lengths = chunk_lengths(chunks, *order)
     stats = corpus_stats(lengths)
     postings = term_frequencies(chunks, asked)
     weights = idf_table(postings, stats)
@@ -82,8 +83,8 @@ def bm25(queries: DataFrame, chunks: DataFrame, k: int | None = TOP_K, k1: float
     matched = postings.join(weighted, "term").join(lengths, "chunk_id").crossJoin(F.broadcast(stats.select("avgdl")))
     norm = 1 - b + b * F.col("length") / F.when(F.col("avgdl") > 0, F.col("avgdl")).otherwise(1.0)
     part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * norm)
-    scored = matched.groupBy("query_id", "chunk_id").agg(F.round(F.sum(part), DIGITS).alias("score")).where("score > 0")
-    return top_k(scored, k, "chunk_id")
+    scored = matched.groupBy("query_id", "chunk_id", *order).agg(F.round(F.sum(part), DIGITS).alias("score")).where("score > 0")
+    return top_k(scored, k, *order, "chunk_id")
 
 
 # ---- dense
@@ -105,25 +106,50 @@ def _unit(vectors: list) -> list[np.ndarray]:
     return out
 
 
+def _rows(column: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """By dimension: which rows have it, and these rows as a matrix of unit vectors; without a copy per row."""
+    if column.null_count:
+        column = column.fill_null([])
+    ends = column.offsets.to_numpy().astype(np.int64)
+    size, flat = np.diff(ends), column.values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    out = []
+    for dim in np.unique(size[size > 0]).tolist():
+        at = np.flatnonzero(size == dim)
+        m = np.nan_to_num(flat[ends[at][:, None] + np.arange(dim)])
+        norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
+        out.append((at, m / np.where(norm > 0, norm, 1)))
+    return out
+
+
 def _block_best(ids: list, vectors: list[np.ndarray], k: int | None, threshold: float | None):
     """For a block of questions: the k best of each Arrow batch of (chunk_id, ord, embedding)."""
+    asked = {dim: ([i for i, v in enumerate(vectors) if len(v) == dim], np.stack([v for v in vectors if len(v) == dim])) for dim in {len(v) for v in vectors}}
 
     def run(batches):
+        names = pa.array(ids, pa.string())
         for batch in batches:
-            own, pos = _unit(batch.column("embedding").to_pylist()), batch.column("ord").to_numpy()
-            score = np.zeros((len(ids), len(own)))
-            for dim in {len(v) for v in own}:
-                rows, cols = [i for i, v in enumerate(vectors) if len(v) == dim], [j for j, v in enumerate(own) if len(v) == dim]
-                if rows and dim:
-                    score[np.ix_(rows, cols)] = np.stack([vectors[i] for i in rows]) @ np.stack([own[j] for j in cols]).T
+            n, pos = batch.num_rows, batch.column("ord").to_numpy()
+            score = np.zeros((len(ids), n))
+            for at, m in _rows(batch.column("embedding")):
+                if m.shape[1] in asked:
+                    rows, q = asked[m.shape[1]]
+                    score[np.ix_(rows, at)] = q @ m.T
             score = np.round(score, DIGITS) + 0.0
-            keep_q, keep_c = [], []
-            for i in range(len(ids)):
-                at = np.lexsort((pos, -score[i]))[: k if k is not None else None]
-                at = at[score[i, at] >= threshold] if threshold is not None else at
-                keep_q.append(np.full(len(at), i)), keep_c.append(at)
-            q, c = np.concatenate(keep_q), np.concatenate(keep_c)
-            yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in q], pa.string()), batch.column("chunk_id").take(pa.array(c)), batch.column("ord").take(pa.array(c)), pa.array(score[q, c])], ["query_id", "chunk_id", "ord", "score"])
+            if k is not None and k < n:  # all that reach the k-th best score, so that ties are settled by ord below
+                least = np.partition(score, n - max(k, 1), axis=1)[:, [n - max(k, 1)]]
+                kept = (score >= least) & (k > 0)
+            else:
+                kept = np.ones(score.shape, bool)
+            if threshold is not None:
+                kept &= score >= threshold
+            q, c = np.nonzero(kept)
+            order = np.lexsort((pos[c], -score[q, c], q))
+            q, c = q[order], c[order]
+            if k is not None and len(q):
+                first = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
+                near = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q)))) < k
+                q, c = q[near], c[near]
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(q)), batch.column("chunk_id").take(pa.array(c)), batch.column("ord").take(pa.array(c)), pa.array(score[q, c])], ["query_id", "chunk_id", "ord", "score"])
 
     return run
 

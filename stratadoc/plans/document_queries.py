@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import work
 from ..functions import headings as hd
 from ..functions import text as tx
 from ..operators import blocks as bl
@@ -66,13 +67,14 @@ def section_propagation(spark, sf_dir):
 
 
 def _built(spark, sf_dir):
-    blocks = bl.with_sections(bl.normalized(line_blocks(spark, sf_dir)))
-    return blocks, ch.built(blocks)
+    """Blocks and chunks that several parts of a query read: each made once."""
+    blocks = work.written(bl.with_sections(bl.normalized(line_blocks(spark, sf_dir))), "blocks")
+    return blocks, work.written(ch.built(blocks), "chunks")
 
 
 def chunk_build(spark, sf_dir):
     """No SQL: running lengths that reset; tests hold it against a plain fold."""
-    _, chunks = _built(spark, sf_dir)
+    chunks = ch.built(bl.with_sections(bl.normalized(line_blocks(spark, sf_dir))))
     return chunks.select("document_id", "chunk_no", "chunk_id", "text", "page_start", "page_end", F.array_join("section_path", ">").alias("section_path"), F.size("source_spans").alias("n_spans"), "split_index", "split_total", "split_strategy", "starts_mid_sentence", "ends_mid_sentence")
 
 

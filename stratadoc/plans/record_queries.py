@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import work
 from ..operators import answers as an
 from ..operators import assets as at
 from ..operators import blocks as bl
@@ -105,21 +106,21 @@ def _figures(spark, sf_dir):
     b = b.withColumn("content_type", F.when(figure, "figure").when(i % 10 == 1, "caption").otherwise("paragraph")).withColumn("bbox", F.struct(F.lit(0.0).alias("x0"), side(7, 120).alias("y0"), side(3, 100).alias("x1"), (side(7, 120) + side(4, 20)).alias("y1")))
     for c, v in (("asset_id", F.concat(F.lit("fig_"), i % 15)), ("asset_uri", F.concat(F.lit("images/"), i)), ("asset_type", F.when(i % 2 == 0, "image").otherwise("unknown"))):
         b = b.withColumn(c, F.when(figure, v))
-    return b.withColumn("group_no", F.when(~figure, F.floor(i / 5)))
+    return work.written(b.withColumn("group_no", F.when(~figure, F.floor(i / 5))), "figures")  # read again and again
 
 
 def decorative_figures(spark, sf_dir):
     return at.decorative(_figures(spark, sf_dir)).groupBy("document_id", F.coalesce("reason", F.lit("none")).alias("reason")).agg(F.count("*").alias("figures"))
 
 
-def _links(spark, sf_dir):
-    b = _figures(spark, sf_dir)
+def _links(b):
     return at.linked(b, at.decorative(b))
 
 
 def asset_report(spark, sf_dir):
     """The totals of asset inventories by document."""
-    out = at.asset_counts(at.inventories(_figures(spark, sf_dir), _links(spark, sf_dir)))
+    b = _figures(spark, sf_dir)
+    out = at.asset_counts(at.inventories(b, _links(b)))
     kinds = F.array_join(F.transform(F.map_entries("assets_by_type"), lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
     return out.withColumn("assets_by_type", kinds)
 
@@ -131,13 +132,13 @@ def document_assets(spark, sf_dir):
 def asset_links(spark, sf_dir):
     """Every figure's decision, its reason in words and its target."""
     target = F.col("block_distance")
-    return _links(spark, sf_dir).select("document_id", "sequence_no", "decision", "link_reason", F.coalesce(target, F.lit(-1)).alias("distance"))
+    return _links(_figures(spark, sf_dir)).select("document_id", "sequence_no", "decision", "link_reason", F.coalesce(target, F.lit(-1)).alias("distance"))
 
 
 def assets_for_blocks(spark, sf_dir):
     """Of a document's links those whose target is a block of an even page."""
     b = _figures(spark, sf_dir)
-    links = _links(spark, sf_dir).groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("sequence_no", "asset_id", "asset_uri", "asset_type", "link_strategy", "decision", "target_block_id"))).alias("assets"))
+    links = _links(b).groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("sequence_no", "asset_id", "asset_uri", "asset_type", "link_strategy", "decision", "target_block_id"))).alias("assets"))
     even = b.where("content_type <> 'figure' AND page_no % 2 = 0").groupBy("document_id").agg(F.collect_set("block_id").alias("ids"))
     joined = links.join(even, "document_id", "left").withColumn("found", at.for_blocks(F.col("assets"), F.coalesce("ids", F.array().cast("array<string>")), True))
     return joined.select("document_id", F.array_join(F.transform("found.assets", lambda a: a["asset_id"]), ",").alias("assets"), "found.skipped")

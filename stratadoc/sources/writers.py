@@ -18,6 +18,9 @@ def markdown(blocks: DataFrame, path: str) -> None:
 
 
 def index(items: DataFrame, path: str) -> None:
+    """Items with ``ord``, the order of insertion, by which ties are settled."""
+    if "ord" not in items.columns:
+        items = items.withColumn("ord", F.monotonically_increasing_id())
     items.write.mode("overwrite").parquet(path)
 
 

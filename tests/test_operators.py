@@ -14,6 +14,7 @@ from stratadoc.operators import blocks as bl
 from stratadoc.operators import chunks as ch
 from stratadoc.operators import evaluation as ev
 from stratadoc.operators import hierarchy as hi
+from stratadoc.operators import parsing
 from stratadoc.operators import report as rp
 from stratadoc.operators import retrieval as rt
 from stratadoc.sources import readers as rd
@@ -275,8 +276,64 @@ def test_figures(spark):
     assert {r["block_id"]: r["reason"] for r in at.decorative(alone).collect() if r["reason"]} == {"f1": "decorative_small_logo"}
 
 
+def test_assets_of_blocks_and_chunks(spark):
+    link = "struct<sequence_no:int,asset_id:string,asset_uri:string,asset_type:string,link_strategy:string,decision:string,target_block_id:string>"
+    rows = [[(1, "a", "u", "image", "x", "linked", "b1"), (2, "a", "u", "image", "x", "linked", "b2"), (3, "c", "v", "image", "x", "linked", "b2"), (4, "d", "w", "image", "not_linked", "not_linked", None), (5, "e", "w", "image", "x", "linked", None)]]
+    table = spark.createDataFrame([(r,) for r in rows], f"assets array<{link}>")
+    names = lambda ids, need: table.select(at.for_blocks(F.col("assets"), F.array(*map(F.lit, ids)).cast("array<string>"), need).alias("x")).select(F.transform("x.assets", lambda a: a["asset_id"]), "x.skipped").head()
+    assert tuple(names(["b1"], True)) == (["a"], True) and tuple(names(["b2"], True)) == (["c"], True)
+    assert tuple(names([], False)) == (["a", "c", "e"], False) and tuple(names([], True)) == ([], True)
+    rows = [(1, "section_header", "1 Objeto", None), (2, "picture", "", "f1"), (3, "text", "O texto que segue a figura.", None), (4, "picture", "", "f2")]
+    b = spark.createDataFrame([("d", i, 1, 1, label, t, a, a and f"images/{a}", a and "image") for i, label, t, a in rows], "document_id string, sequence_no int, page_no int, page_total int, label string, text string, asset_id string, asset_uri string, asset_type string")
+    out = parsing.process(b, ch.ChunkConfig(merge_small=False), source_name=F.lit("s.pdf"))
+    assert [[a["asset_id"] for a in r["related_assets"]] for r in out.chunks.orderBy("chunk_no").collect()] == [[], ["f1"]]
+    report = out.report.head()
+    assert set(rp.FIELDS) <= set(report.asDict()) and report["source_name"] == "s.pdf"
+    assert (report["assets_saved_total"], report["assets_linked_total"], report["assets_unlinked_total"], report["figures_unlinked"], report["assets_by_type"]) == (2, 1, 1, 1, {"image": 2})
+    assert "1 figure asset(s) could not be safely linked." in report["warnings"]
+
+
+def test_looks_of_headings(spark):
+    look = lambda **v: one(spark, hd.visual_evidence({c: F.lit(v.get(c)) for c in ("label", "content_type", *hd.VISUAL)}, F.col("t")), t="Some heading")
+    assert look(strong=True, font_weight=700.0, spacing_before=2.0) and look(role="heading", font_size_rank="large", bold=True)
+    assert not look(strong=True, bold=True, is_bold=True) and not look(font_weight=500.0, spacing_before=0.0, role="body", font_size_rank="small")
+
+
 # ---- sources and sinks
 
+def test_foreign_results(spark, tmp_path):
+    import dataclasses
+    import pathlib
+
+    @dataclasses.dataclass
+    class Box:
+        x: int
+        where: pathlib.Path
+
+    assert rd.plain_value({1: Box(2, pathlib.Path("a/b")), "s": {3}, "n": None, "t": (1.5, "x")}) == {"1": {"x": 2, "where": "a/b"}, "s": [3], "n": None, "t": [1.5, "x"]}
+
+    class Result:
+        def broken(self):
+            raise RuntimeError("no")
+
+        def works(self):
+            return {"a": 1}
+
+    assert rd.first_export(Result(), ["absent", "broken", "works"]) == ({"a": 1}, "works", ["broken failed: no"])
+    assert rd.first_export(Result(), ["absent"]) == (None, None, [])
+    assert rd.default_input_path(spark, str(tmp_path)).endswith("parsed_sections.jsonl")
+    (tmp_path / "rag_chunks.jsonl").write_text("{}")
+    assert rd.default_input_path(spark, str(tmp_path)).endswith("rag_chunks.jsonl")
+
+
+def test_dataset_validation():
+    good = {"schema_version": "1", "name": "n", "cases": [{"id": "a", "question": "q", "expected": {"chunk_ids": ["c"]}}]}
+    assert ev.validate_dataset(good) is good
+    for bad in ({}, {**good, "cases": {}}, {**good, "cases": ["x"]}, {**good, "cases": [{"id": "a", "question": "q"}]}, {**good, "cases": [{"id": "a", "question": "q", "expected": []}]}, {**good, "cases": [{"id": "a", "question": "q", "expected": {"pages": [1]}}]}):
+        with pytest.raises(ValueError):
+            ev.validate_dataset(bad)
+
+
 def test_sources(spark, tmp_path):
     page = "<html><script>x</script><h1>Title</h1><p>One  two</p><ul><li>item</li></ul><table><tr><td>a</td><td>b</td></tr></table><img src=u alt=z></html>"
     got = rd.html_blocks(spark.createDataFrame([(1, page), (2, None)], "page_id long, html string")).orderBy("sequence_no").collect()
