@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import shared, textscan
 
-BITS, SAMPLE_ROWS, SAMPLE_CHARS = 18, 3000, 20_000
+BITS, SAMPLE_ROWS, SAMPLE_CHARS = 18, 3000, 5000
 MIN_WORDS, MAX_REPEAT_PERCENT, KEEP_AT = 20, 30, 0.5
 REPEAT_WINDOW, CHAR_GRAM = 8, 4
 _SYMBOLS = np.isin(np.arange(256), [ord(c) for c in "#*$%&|<>"])
