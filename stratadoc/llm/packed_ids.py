@@ -133,7 +133,7 @@ def tokenizer_chunks(path: str) -> Chunks:
         added = list(model.get_added_tokens_decoder().values())
         if any(t.lstrip or t.rstrip or t.single_word for t in added):
             raise ValueError("an added token that takes its neighbours along cannot be cut off")
-        encode = lambda texts: [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
+        encode = lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
         cut = encode(["\n"])[0]
 
         def compute(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
