@@ -90,7 +90,7 @@ class Chunks:
         """An entry: hash, length, words (``eights``; the first, and where the others are) and values."""
         self.slots = np.full(1 << _BITS, -1, np.int32)
         self.keys, self.first = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.uint64)
-        self.lengths, self.others, self.starts, self.sizes = (np.zeros(1 << 12, np.int64) for _ in range(4))
+        self.lengths, self.others, self.starts, self.sizes = (np.zeros(1 << 12, np.int32) for _ in range(4))
         self.rest, self.n_rest = np.zeros(1 << 12, np.uint64), 0
         self.values, self.n, self.used = np.zeros(1 << 14, np.int32), 0, 0
 
@@ -161,7 +161,7 @@ class Chunks:
         lengths = starts[1:] - starts[:-1]
         every, heads, place = textscan.eights(raw, starts[:-1], starts[1:])
         hashes, words = textscan.eight_hashes(every, heads, place, lengths), (every, heads, lengths)
-        if self.n + len(lengths) > max(self.most, len(lengths)) or self.used > 16 * _MOST or self.n_rest > 8 * _MOST:
+        if self.n + len(lengths) > max(self.most, len(lengths)) or self.used > 8 * self.most or self.n_rest > 4 * self.most:
             self.clear()
         found = self._find(np.arange(len(lengths)), hashes, words)
         lost = np.flatnonzero(found < 0)

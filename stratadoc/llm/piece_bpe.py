@@ -82,7 +82,7 @@ class Codec:
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.chunks = Chunks(self._chunk_ids)
+        self.chunks = Chunks(self._chunk_ids, 390_000)  # the model beside it takes its room; arrays stay within 2 ** 19 entries
 
     def _chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         mapped = [[m.encode().decode("latin-1").translate(self.latin) for m in self.matches(c)] for c in chunks]
