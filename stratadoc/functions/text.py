@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Callable
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,9 +27,43 @@ def squeezed(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "))
 
 
+@cache
+def _changes(rule: Callable[[str], str]) -> dict[str, str]:
+    """What a rule makes of single characters, Hangul syllables and surrogates aside, where that is something else."""
+    codes = (*range(0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x110000))
+    return {c: new for c in map(chr, codes) if (new := rule(c)) != c}
+
+
+def respelled(text: Column, rule: Callable[[str], str]) -> Column:
+    """Text with each character as the rule (a Python function of one) has it; the rule's table is part of the plan."""
+    table = _changes(rule)
+    ones, none, more = ([c for c, new in table.items() if min(len(new), 2) == n] for n in (1, 0, 2))
+    out = F.translate(text, "".join(ones + none), "".join(table[c] for c in ones))
+    if not more:
+        return out
+    found = F.array_distinct(F.regexp_extract_all(out, F.lit("([" + "".join(more) + "])"), F.lit(1)))
+    longer = F.create_map(*(F.lit(x) for c in more for x in (c, table[c])))
+    return F.aggregate(found, out, lambda s, c: F.replace(s, c, F.element_at(longer, c)))
+
+
+def _fold(c: str) -> str:
+    return c.casefold() if c == c.lower() else c
+
+
+def _bare(c: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+
+
 def folded(text: Column) -> Column:
-    """Squeezed text for comparison without case."""
-    return F.replace(F.lower(squeezed(text)), F.lit("ß"), F.lit("ss"))
+    """Squeezed text for comparison without case: Unicode's full case folding."""
+    lower = F.lower(squeezed(text))
+    early = "".join(c for c in _changes(_fold) if c < "\u0370")
+    return F.when(lower.rlike(f"[{early}\u0370-\U0010ffff]"), respelled(lower, _fold)).otherwise(lower)
+
+
+def bare(text: Column) -> Column:
+    """Lower case of the compatibility decomposition without combining marks (Hangul syllables stay whole)."""
+    return F.lower(F.when(text.rlike("[^\\x00-\\x7F]"), respelled(text, _bare)).otherwise(text))
 
 
 def plain(text: Column) -> Column:

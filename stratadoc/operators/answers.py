@@ -21,12 +21,11 @@ PROMPT_HEAD = (
 GROUNDING_WORDS = ("somente usando", "apenas usando", "nao use conhecimento externo", "cite apenas fontes", "fontes fornecidas", "contexto recuperado")
 REFUSAL_WORDS = ("evidencia suficiente", "nao encontrei evidencia suficiente", "recuse", "nao responda")
 REFERENCE = r"(?i)(?<![\w-])(chunk[_-]?[A-Za-z0-9_-]+|c\d+[A-Za-z0-9_-]*)(?![\w-])"
-ACCENTS = ("ÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿ", "AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOoooooUUUUuuuuYyy")
 
 
 def bare(text: Column) -> Column:
     """Lower case without accents or combining marks."""
-    return F.lower(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), *ACCENTS), r"\p{M}", ""))
+    return tx.bare(F.coalesce(text, F.lit("")))
 
 
 def citations(results: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Batch retrieval: every question of a table at once against every chunk, ranked by windows.
 
 Questions are (query_id, question); chunks are (chunk_id, content) with an order column for ties; results are
-(query_id, chunk_id, score, rank), rank from 1.  Scores are rounded to nine digits before ranking, so that the order of
-additions never decides a rank.
+(query_id, chunk_id, score, rank), rank from 1.  Scores are ranked by their full value, which no order of additions
+changes: BM25 adds whole multiples of a small step, cosines are added dimension by dimension.
 """
 
 from __future__ import annotations
@@ -15,7 +15,10 @@ from pyspark.sql import types as T
 
 from ..functions import text as tx
 
-DIGITS = 9
+#: BM25 parts are multiples of 1 / STEPS before k1 + 1 comes in, so 64 bits hold the sum of 60,000 of the rarest terms.
+STEPS = 1 << 42
+#: What a matrix product's cosines may differ from exact ones by, at most.
+SLACK = 1e-9
 TOP_K, K1, B, RRF_K = 10, 1.5, 0.75, 60
 #: Questions that one pass over the vectors compares: what is broadcast never exceeds this many vectors.
 QUERY_BLOCK = 4096
@@ -82,8 +85,8 @@ def bm25(queries: DataFrame, chunks: DataFrame, k: int | None = TOP_K, k1: float
         weighted = F.broadcast(weighted)
     matched = postings.join(weighted, "term").join(lengths, "chunk_id").crossJoin(F.broadcast(stats.select("avgdl")))
     norm = 1 - b + b * F.col("length") / F.when(F.col("avgdl") > 0, F.col("avgdl")).otherwise(1.0)
-    part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * norm)
-    scored = matched.groupBy("query_id", "chunk_id", *order).agg(F.round(F.sum(part), DIGITS).alias("score")).where("score > 0")
+    steps = (F.col("idf") * F.col("tf") / (F.col("tf") + k1 * norm) * STEPS + 0.5).cast("long")
+    scored = matched.groupBy("query_id", "chunk_id", *order).agg((F.sum(steps) * (k1 + 1) / STEPS).alias("score")).where("score > 0")
     return top_k(scored, k, *order, "chunk_id")
 
 
@@ -97,17 +100,8 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(ok, dot / (norm(a) * norm(b))).otherwise(0.0)
 
 
-def _unit(vectors: list) -> list[np.ndarray]:
-    out = []
-    for v in vectors:
-        v = np.zeros(0) if v is None else np.asarray(v, np.float64)
-        n = np.sqrt((v * v).sum())
-        out.append(v / n if n else v)
-    return out
-
-
 def _rows(column: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """By dimension: which rows have it, and these rows as a matrix of unit vectors; without a copy per row."""
+    """By dimension: which rows have it, and these rows as a matrix; without a copy per row."""
     if column.null_count:
         column = column.fill_null([])
     ends = column.offsets.to_numpy().astype(np.int64)
@@ -115,41 +109,70 @@ def _rows(column: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
     out = []
     for dim in np.unique(size[size > 0]).tolist():
         at = np.flatnonzero(size == dim)
-        m = np.nan_to_num(flat[ends[at][:, None] + np.arange(dim)])
-        norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
-        out.append((at, m / np.where(norm > 0, norm, 1)))
+        out.append((at, np.nan_to_num(flat[ends[at][:, None] + np.arange(dim)])))
     return out
 
 
-def _block_best(ids: list, vectors: list[np.ndarray], k: int | None, threshold: float | None):
-    """For a block of questions: the k best of each Arrow batch of (chunk_id, ord, embedding)."""
-    asked = {dim: ([i for i, v in enumerate(vectors) if len(v) == dim], np.stack([v for v in vectors if len(v) == dim])) for dim in {len(v) for v in vectors}}
+def _norms(m: np.ndarray) -> np.ndarray:
+    """Of each row, added in the order of its dimensions."""
+    return np.sqrt(np.cumsum(m * m, axis=1)[:, -1])
+
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    norm = _norms(m)[:, None]
+    return m / np.where(norm > 0, norm, 1)
+
+
+def _cosines(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of the rows i of a and j of b, pair by pair, the same whatever pairs are beside them; 0 with a zero vector."""
+    norm_a, norm_b, out = _norms(a), _norms(b), np.zeros(len(i))
+    step = max(1, (1 << 21) // a.shape[1])
+    for at in range(0, len(i), step):
+        x, y = i[at : at + step], j[at : at + step]
+        both = norm_a[x] * norm_b[y]
+        out[at : at + step] = np.cumsum(a[x] * b[y], axis=1)[:, -1] / np.where(both > 0, both, np.inf)
+    return out + 0.0
+
+
+def _block_best(ids: list, vectors: list, k: int | None, threshold: float | None):
+    """For a block of questions: the k best of each Arrow batch of (chunk_id, ord, embedding).
+
+    A matrix product finds all pairs that may be among them; their cosines are then added one dimension after the other.
+    """
+    asked = {m.shape[1]: (at, m, _unit(m)) for at, m in _rows(pa.array(vectors, pa.list_(pa.float64())))}
 
     def run(batches):
         names = pa.array(ids, pa.string())
         for batch in batches:
-            n, pos = batch.num_rows, batch.column("ord").to_numpy()
-            score = np.zeros((len(ids), n))
+            n, pos, groups = batch.num_rows, batch.column("ord").to_numpy(), []
+            near = np.zeros((len(ids), n))
             for at, m in _rows(batch.column("embedding")):
                 if m.shape[1] in asked:
-                    rows, q = asked[m.shape[1]]
-                    score[np.ix_(rows, at)] = q @ m.T
-            score = np.round(score, DIGITS) + 0.0
-            if k is not None and k < n:  # all that reach the k-th best score, so that ties are settled by ord below
-                least = np.partition(score, n - max(k, 1), axis=1)[:, [n - max(k, 1)]]
-                kept = (score >= least) & (k > 0)
+                    rows, raw, unit = asked[m.shape[1]]
+                    near[np.ix_(rows, at)] = unit @ _unit(m).T
+                    groups.append((rows, raw, at, m))
+            if k is not None and k < n:  # all that may reach the k-th best score, so that ties are settled by ord below
+                kept = (near >= np.partition(near, n - max(k, 1), axis=1)[:, [n - max(k, 1)]] - SLACK) & (k > 0)
             else:
-                kept = np.ones(score.shape, bool)
+                kept = np.ones(near.shape, bool)
             if threshold is not None:
-                kept &= score >= threshold
+                kept &= near >= threshold - SLACK
             q, c = np.nonzero(kept)
-            order = np.lexsort((pos[c], -score[q, c], q))
-            q, c = q[order], c[order]
+            score = np.zeros(len(q))
+            for rows, raw, at, m in groups:
+                row, col = np.full(len(ids), -1), np.full(n, -1)
+                row[rows], col[at] = np.arange(len(rows)), np.arange(len(at))
+                those = np.flatnonzero((row[q] >= 0) & (col[c] >= 0))
+                score[those] = _cosines(raw, m, row[q[those]], col[c[those]])
+            if threshold is not None:
+                q, c, score = (x[score >= threshold] for x in (q, c, score))
+            order = np.lexsort((pos[c], -score, q))
+            q, c, score = q[order], c[order], score[order]
             if k is not None and len(q):
                 first = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
-                near = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q)))) < k
-                q, c = q[near], c[near]
-            yield pa.RecordBatch.from_arrays([names.take(pa.array(q)), batch.column("chunk_id").take(pa.array(c)), batch.column("ord").take(pa.array(c)), pa.array(score[q, c])], ["query_id", "chunk_id", "ord", "score"])
+                best = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q)))) < k
+                q, c, score = q[best], c[best], score[best]
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(q)), batch.column("chunk_id").take(pa.array(c)), batch.column("ord").take(pa.array(c)), pa.array(score)], ["query_id", "chunk_id", "ord", "score"])
 
     return run
 
@@ -166,7 +189,7 @@ def dense(queries: DataFrame, vectors: DataFrame, k: int | None = TOP_K, thresho
     out, block = None, []
 
     def scan(block):
-        return source.mapInArrow(_block_best([r[0] for r in block], _unit([r[1] for r in block]), k, threshold), "query_id string, chunk_id string, ord long, score double")
+        return source.mapInArrow(_block_best([r[0] for r in block], [r[1] for r in block], k, threshold), "query_id string, chunk_id string, ord long, score double")
 
     for row in rows.toLocalIterator():  # at most a block is held
         block.append(row)
@@ -188,7 +211,7 @@ def term_cosine(queries: DataFrame, chunks: DataFrame, k: int | None = TOP_K, th
     size_q = asked.groupBy("query_id").agg(F.count("*").alias("nq"))
     size_c = chunks.select("chunk_id", F.size(F.array_distinct(tx.tokens(F.col("content")))).alias("nc"))
     hit = asked.join(term_frequencies(chunks, asked), "term").groupBy("query_id", "chunk_id").agg(F.count("*").alias("both"))
-    score = F.round(F.col("both") / F.sqrt(F.col("nq") * F.col("nc")), DIGITS)
+    score = F.col("both") / F.sqrt(F.col("nq") * F.col("nc"))
     scored = hit.join(size_q, "query_id").join(size_c, "chunk_id").select("query_id", "chunk_id", score.alias("score"))
     return top_k(scored if threshold is None else scored.where(F.col("score") >= threshold), k, "chunk_id")
 
@@ -211,7 +234,7 @@ def fused(dense_results: DataFrame, sparse_results: DataFrame, strategy: str = "
     place = lambda r: F.coalesce(1 / (F.lit(float(rrf_k)) + F.col(r)), F.lit(0.0))
     rrf = place("dense_rank") + place("sparse_rank")
     weighted = dense_weight * F.coalesce("dense_score", F.lit(0.0)) + sparse_weight * F.coalesce("sparse_score", F.lit(0.0))
-    out = both.withColumns({"rrf_score": F.round(rrf, DIGITS), "weighted_score": F.round(weighted, DIGITS)})
+    out = both.withColumns({"rrf_score": rrf, "weighted_score": weighted})
     out = out.withColumn("score", F.col("rrf_score" if strategy == "rrf" else "weighted_score")).withColumn("representative", F.when(F.col("dense_rank").isNotNull() & (F.col("sparse_rank").isNull() | (F.col("dense_rank") <= F.col("sparse_rank"))), "dense").otherwise("sparse"))
     order = F.when(F.col("dense_first").isNotNull(), F.struct(F.lit(0).alias("list"), F.col("dense_first").alias("at"))).otherwise(F.struct(F.lit(1).alias("list"), F.col("sparse_first").alias("at")))
     return top_k(out.withColumn("first_seen", order), k, "first_seen", "chunk_id").select("query_id", "chunk_id", "score", "rank", "dense_rank", "sparse_rank", "dense_score", "sparse_score", "rrf_score", "weighted_score", "representative")

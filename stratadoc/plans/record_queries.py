@@ -61,7 +61,7 @@ def index_filter(spark, sf_dir):
 def _results(spark, sf_dir):
     """BM25 results with pages and sections by position."""
     q, c = rq.questions(spark, sf_dir), rq.chunks(spark, sf_dir)
-    found = rq.rt.bm25(q, c).join(c, "chunk_id")
+    found = rq.rounded(rq.rt.bm25(q, c)).join(c, "chunk_id")
     i = F.col("chunk_id")
     return q, found.select("query_id", "rank", "score", i.cast("string").alias("chunk_id"), F.concat(F.lit("p"), i).alias("source_chunk_id"), (i % 9).cast("int").alias("page_start"), F.when(i % 5 > 0, i % 9 + i % 3 - 1).cast("int").alias("page_end"), F.array(F.concat(F.lit("S"), i % 4)).alias("section_path"), "content")
 

@@ -28,6 +28,11 @@ def vector_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors(spark, sf_dir).where("ord % 20 = 0").select(F.col("chunk_id").alias("query_id"), "embedding", "label")
 
 
+def rounded(results: DataFrame) -> DataFrame:
+    """Scores to nine digits, once they are ranked."""
+    return results.withColumns({c: F.round(c, 9) for c in results.columns if c.endswith("score")})
+
+
 def tokenize_counts(spark, sf_dir):
     c = chunks(spark, sf_dir)
     t = tx.tokens(F.col("content"))
@@ -45,15 +50,15 @@ def bm25_idf_table(spark, sf_dir):
 
 
 def bm25_topk(spark, sf_dir):
-    return rt.bm25(questions(spark, sf_dir), chunks(spark, sf_dir)).select("query_id", "chunk_id", "score", "rank")
+    return rounded(rt.bm25(questions(spark, sf_dir), chunks(spark, sf_dir))).select("query_id", "chunk_id", "score", "rank")
 
 
 def dense_topk(spark, sf_dir):
-    return rt.dense(vector_queries(spark, sf_dir), vectors(spark, sf_dir))
+    return rounded(rt.dense(vector_queries(spark, sf_dir), vectors(spark, sf_dir)))
 
 
 def dense_threshold(spark, sf_dir):
-    return rt.dense(vector_queries(spark, sf_dir), vectors(spark, sf_dir), k=50, threshold=0.5)
+    return rounded(rt.dense(vector_queries(spark, sf_dir), vectors(spark, sf_dir), k=50, threshold=0.5))
 
 
 def cosine_zero_guard(spark, sf_dir):
@@ -69,20 +74,20 @@ def _two_lists(spark, sf_dir):
 
 
 def rrf_fusion(spark, sf_dir):
-    return rt.fused(*_two_lists(spark, sf_dir)).select("query_id", "chunk_id", "score", "rank", "dense_rank", "sparse_rank", "weighted_score", "representative")
+    return rounded(rt.fused(*_two_lists(spark, sf_dir))).select("query_id", "chunk_id", "score", "rank", "dense_rank", "sparse_rank", "weighted_score", "representative")
 
 
 def weighted_fusion(spark, sf_dir):
-    return rt.fused(*_two_lists(spark, sf_dir), strategy="weighted", dense_weight=0.7, sparse_weight=0.3).select("query_id", "chunk_id", "score", "rank", "rrf_score")
+    return rounded(rt.fused(*_two_lists(spark, sf_dir), strategy="weighted", dense_weight=0.7, sparse_weight=0.3)).select("query_id", "chunk_id", "score", "rank", "rrf_score")
 
 
 def rerank_identity(spark, sf_dir):
-    return rt.rerank_identity(rt.bm25(questions(spark, sf_dir), chunks(spark, sf_dir)), 5).select("query_id", "chunk_id", "rank", "score", "rerank_score", "original_score", "reranker")
+    return rounded(rt.rerank_identity(rt.bm25(questions(spark, sf_dir), chunks(spark, sf_dir)), 5)).select("query_id", "chunk_id", "rank", "score", "rerank_score", "original_score", "reranker")
 
 
 def rerank_overlap(spark, sf_dir):
     q, c = questions(spark, sf_dir), chunks(spark, sf_dir)
-    return rt.rerank_overlap(rt.bm25(q, c), q, c, 5).select("query_id", "chunk_id", "rank", "score", "rerank_score", "reranker")
+    return rounded(rt.rerank_overlap(rt.bm25(q, c), q, c, 5)).select("query_id", "chunk_id", "rank", "score", "rerank_score", "reranker")
 
 
 def _label_metrics(spark, sf_dir):
@@ -118,19 +123,19 @@ st AS (SELECT count(*) AS n, avg(len(t)) AS avgdl FROM c),
 post AS (SELECT chunk_id, term, count(*) AS tf FROM (SELECT chunk_id, unnest(t) AS term FROM c) WHERE term IN (SELECT term FROM qt) GROUP BY ALL),
 w AS (SELECT term, count(*) AS df, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM post, st GROUP BY term)"""
 _BM25 = f"""{_BASE},
-sparse AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM (
-  SELECT query_id, chunk_id, round(sum(idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len(t) / avgdl))), 9) AS score
-  FROM qt JOIN post USING (term) JOIN w USING (term) JOIN c USING (chunk_id), st GROUP BY query_id, chunk_id) WHERE score > 0) WHERE rank <= 10)"""
+sparse AS (SELECT *, round(exact, 9) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY exact DESC, chunk_id) AS rank FROM (
+  SELECT query_id, chunk_id, CAST(sum(CAST(floor(idf * tf / (tf + 1.5 * (0.25 + 0.75 * len(t) / avgdl)) * 4398046511104 + 0.5) AS BIGINT)) AS DOUBLE) * 2.5 / 4398046511104 AS exact
+  FROM qt JOIN post USING (term) JOIN w USING (term) JOIN c USING (chunk_id), st GROUP BY query_id, chunk_id) WHERE exact > 0) WHERE rank <= 10)"""
 _LISTS = f"""{_BM25},
 dense AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM (
-  SELECT query_id, chunk_id, round(count(*) / sqrt(any_value(len(list_distinct(q.t))) * any_value(len(list_distinct(c.t)))), 9) AS score
+  SELECT query_id, chunk_id, count(*) / sqrt(any_value(len(list_distinct(q.t))) * any_value(len(list_distinct(c.t)))) AS score
   FROM qt JOIN post USING (term) JOIN c USING (chunk_id) JOIN q USING (query_id) GROUP BY query_id, chunk_id) WHERE score >= 0) WHERE rank <= 10),
-both_ AS (SELECT query_id, chunk_id, d.rank AS dense_rank, s.rank AS sparse_rank, d.score AS dense_score, s.score AS sparse_score,
-  round(coalesce(1 / (60 + d.rank), 0) + coalesce(1 / (60 + s.rank), 0), 9) AS rrf_score
+both_ AS (SELECT query_id, chunk_id, d.rank AS dense_rank, s.rank AS sparse_rank, d.score AS dense_score, s.exact AS sparse_score,
+  coalesce(1 / (60 + d.rank), 0) + coalesce(1 / (60 + s.rank), 0) AS rrf_score
   FROM dense d FULL OUTER JOIN sparse s USING (query_id, chunk_id))"""
 _DENSE = """v AS (SELECT CAST(vec_id AS VARCHAR) AS chunk_id, vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings),
 found AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
-  SELECT q.chunk_id AS query_id, q.label AS ql, v.chunk_id, v.vec_id, v.label, round(list_cosine_similarity(q.e, v.e), 9) AS score FROM v q, v WHERE q.vec_id % 20 = 0) WHERE score >= {})"""
+  SELECT q.chunk_id AS query_id, q.label AS ql, v.chunk_id, v.vec_id, v.label, list_cosine_similarity(q.e, v.e) AS score FROM v q, v WHERE q.vec_id % 20 = 0) WHERE score >= {})"""
 _CASES = f"""{_DENSE.format('0.0')},
 hits AS (SELECT query_id, min(CASE WHEN label = ql THEN rank END) AS first_rank, count(CASE WHEN label = ql AND rank <= 1 THEN 1 END) AS h1,
   count(CASE WHEN label = ql AND rank <= 3 THEN 1 END) AS h3, count(CASE WHEN label = ql AND rank <= 5 THEN 1 END) AS h5 FROM found WHERE rank <= 10 GROUP BY query_id),
@@ -143,13 +148,13 @@ ORACLE = {
     "term_frequency": f"WITH {_BASE} SELECT chunk_id, term, tf FROM post",
     "bm25_idf_table": f"WITH {_BASE} SELECT term, df, round(idf, 9) AS idf FROM w",
     "bm25_topk": f"WITH {_BM25} SELECT query_id, chunk_id, score, rank FROM sparse",
-    "dense_topk": f"WITH {_DENSE.format('0.0')} SELECT query_id, chunk_id, score, rank FROM found WHERE rank <= 10",
-    "dense_threshold": f"WITH {_DENSE.format('0.5')} SELECT query_id, chunk_id, score, rank FROM found WHERE rank <= 50",
+    "dense_topk": f"WITH {_DENSE.format('0.0')} SELECT query_id, chunk_id, round(score, 9) AS score, rank FROM found WHERE rank <= 10",
+    "dense_threshold": f"WITH {_DENSE.format('0.5')} SELECT query_id, chunk_id, round(score, 9) AS score, rank FROM found WHERE rank <= 50",
     "cosine_zero_guard": "SELECT CAST(vec_id AS VARCHAR) AS chunk_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])), 6) AS self, 0.0::DOUBLE AS zero, 0.0::DOUBLE AS shorter FROM embeddings",
-    "rrf_fusion": f"""WITH {_LISTS} SELECT * FROM (SELECT query_id, chunk_id, rrf_score AS score, row_number() OVER (PARTITION BY query_id ORDER BY rrf_score DESC, dense_rank IS NULL, coalesce(dense_rank, sparse_rank), chunk_id) AS rank, dense_rank, sparse_rank,
+    "rrf_fusion": f"""WITH {_LISTS} SELECT * FROM (SELECT query_id, chunk_id, round(rrf_score, 9) AS score, row_number() OVER (PARTITION BY query_id ORDER BY rrf_score DESC, dense_rank IS NULL, coalesce(dense_rank, sparse_rank), chunk_id) AS rank, dense_rank, sparse_rank,
   round(0.5 * coalesce(dense_score, 0) + 0.5 * coalesce(sparse_score, 0), 9) AS weighted_score, CASE WHEN dense_rank IS NOT NULL AND (sparse_rank IS NULL OR dense_rank <= sparse_rank) THEN 'dense' ELSE 'sparse' END AS representative FROM both_) WHERE rank <= 10""",
-    "weighted_fusion": f"""WITH {_LISTS} SELECT query_id, chunk_id, score, rank, rrf_score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, first0, first1, chunk_id) AS rank FROM (
-  SELECT query_id, chunk_id, round(0.7 * coalesce(dense_score, 0) + 0.3 * coalesce(sparse_score, 0), 9) AS score, rrf_score, dense_rank IS NULL AS first0, coalesce(dense_rank, sparse_rank) AS first1 FROM both_)) WHERE rank <= 10""",
+    "weighted_fusion": f"""WITH {_LISTS} SELECT query_id, chunk_id, round(score, 9) AS score, rank, round(rrf_score, 9) AS rrf_score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, first0, first1, chunk_id) AS rank FROM (
+  SELECT query_id, chunk_id, 0.7 * coalesce(dense_score, 0) + 0.3 * coalesce(sparse_score, 0) AS score, rrf_score, dense_rank IS NULL AS first0, coalesce(dense_rank, sparse_rank) AS first1 FROM both_)) WHERE rank <= 10""",
     "rerank_identity": f"WITH {_BM25} SELECT query_id, chunk_id, rank, score, score AS rerank_score, score AS original_score, 'identity' AS reranker FROM sparse WHERE rank <= 5",
     "rerank_overlap": f"""WITH {_BM25} SELECT * FROM (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, old) AS rank, score, rerank_score, 'overlap' AS reranker FROM (
   SELECT s.query_id, s.chunk_id, s.rank AS old, s.score, CAST(len(list_filter(c.t, lambda x: list_contains(q.t, x))) AS DOUBLE) AS rerank_score FROM sparse s JOIN c USING (chunk_id) JOIN q USING (query_id))) WHERE rank <= 5""",

@@ -1,8 +1,10 @@
 """Behaviour of single operators on small cases."""
 
+import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,7 +179,7 @@ def results(spark, rows):
 def test_rrf(spark):
     d, s = results(spark, [("c1", 0.9, 1), ("c2", 0.8, 2)]), results(spark, [("c2", 7.0, 1), ("c3", 6.0, 2)])
     out = rt.fused(d, s).orderBy("rank").collect()
-    assert [r["chunk_id"] for r in out] == ["c2", "c1", "c3"] and out[0]["score"] == round(1 / 62 + 1 / 61, 9) and out[0]["representative"] == "sparse"
+    assert [r["chunk_id"] for r in out] == ["c2", "c1", "c3"] and out[0]["score"] == 1 / 62 + 1 / 61 and out[0]["representative"] == "sparse"
     w = rt.fused(results(spark, [("c", 1.0, 1)]), results(spark, [("c", 10.0, 1)]), "weighted", dense_weight=0.2, sparse_weight=0.1).head()
     assert w["score"] == 1.2
     with pytest.raises(ValueError):
@@ -194,6 +196,42 @@ def test_dense_ties_threshold_and_guards(spark):
     assert rt.dense(q.limit(0), v).count() == 0 and rt.dense(q, v.limit(0)).count() == 0
 
 
+def test_case_folding_and_accents_of_every_character(spark):
+    import unicodedata
+
+    known = [c for c in map(chr, (*range(0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x110000))) if unicodedata.category(c) != "Cn" and not c.isspace()]
+    texts = ["x" + "y".join(known[i : i + 500]) + "x" for i in range(0, len(known), 500)]
+    df = spark.createDataFrame([(t,) for t in [*texts, "STRASSE Straße ΟΔΥΣΣΕΥΣ ﬃ", "Não é ﬁm Å", None]], "t string").select("t", tx.folded(F.col("t")).alias("f"), an.bare(F.col("t")).alias("b"))
+    for r in df.collect():
+        t = r["t"] or ""
+        assert r["f"] == t.casefold()
+        assert r["b"] == "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).lower()
+
+
+def test_scores_are_ranked_by_their_full_value(spark):
+    near = [(str(i), i, [1.0, (40 - i) * 1e-6]) for i in range(40)] + [("same", 40, [2.0, 2e-6])]  # cosines differ by less than 1e-9
+    v = spark.createDataFrame(near, "chunk_id string, ord long, embedding array<double>").repartition(4)
+    q = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, embedding array<double>")
+    got = [r["chunk_id"] for r in rt.dense(q, v, 5).orderBy("rank").collect()]
+    assert got == ["39", "same", "38", "37", "36"]
+    rng = np.random.default_rng(3)
+    vectors = [list(map(float, x)) for x in rng.normal(size=(60, 33))]
+    vectors += vectors[:20]
+    v = spark.createDataFrame([(str(i), i, x) for i, x in enumerate(vectors)], "chunk_id string, ord long, embedding array<double>").repartition(7)
+    q = spark.createDataFrame([(str(i), x) for i, x in enumerate(vectors[:9])], "query_id string, embedding array<double>")
+    got = {(r["query_id"], r["rank"]): (r["chunk_id"], r["score"]) for r in rt.dense(q, v, 12, None).collect()}
+
+    def cosine(a, b):  # in order, without a compensated sum
+        dot = na = nb = 0.0
+        for x, y in zip(a, b, strict=True):
+            dot, na, nb = dot + x * y, na + x * x, nb + y * y
+        return dot / (math.sqrt(na) * math.sqrt(nb))
+
+    for i, x in enumerate(vectors[:9]):
+        want = sorted(((-cosine(x, y), j) for j, y in enumerate(vectors)))[:12]
+        assert [got[str(i), r + 1] for r in range(12)] == [(str(j), -s) for s, j in want]
+
+
 def test_bm25_guards(spark):
     c = spark.createDataFrame([("a", "prazo do contrato"), ("b", ""), ("c", None), ("d", "outra coisa")], "chunk_id string, content string")
     q = spark.createDataFrame([("q", "Prazo prazo PRAZO"), ("n", "")], "query_id string, question string")
