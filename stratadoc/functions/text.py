@@ -29,20 +29,20 @@ def squeezed(text: Column) -> Column:
 
 @cache
 def _changes(rule: Callable[[str], str]) -> dict[str, str]:
-    """What a rule makes of single characters, Hangul syllables and surrogates aside, where that is something else."""
-    codes = (*range(0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x110000))
+    """What a rule makes of characters beyond ASCII, Hangul syllables and surrogates aside, where that is something else."""
+    codes = (*range(0x80, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x110000))
     return {c: new for c in map(chr, codes) if (new := rule(c)) != c}
 
 
 def respelled(text: Column, rule: Callable[[str], str]) -> Column:
-    """Text with each character as the rule (a Python function of one) has it; the rule's table is part of the plan."""
+    """Text with each character beyond ASCII as the rule (a Python function of one) has it; the rule's table is part of the plan."""
     table = _changes(rule)
     ones, none, more = ([c for c, new in table.items() if min(len(new), 2) == n] for n in (1, 0, 2))
     out = F.translate(text, "".join(ones + none), "".join(table[c] for c in ones))
     if not more:
         return out
-    found = F.array_distinct(F.regexp_extract_all(out, F.lit("([" + "".join(more) + "])"), F.lit(1)))
-    longer = F.create_map(*(F.lit(x) for c in more for x in (c, table[c])))
+    longer = F.map_from_arrays(*(F.split(F.lit("\n".join(x)), "\n") for x in (more, [table[c] for c in more])))
+    found = F.filter(F.array_distinct(F.regexp_extract_all(out, F.lit(r"([^\x00-\x7F])"), F.lit(1))), lambda c: F.map_contains_key(longer, c))
     return F.aggregate(found, out, lambda s, c: F.replace(s, c, F.element_at(longer, c)))
 
 

@@ -97,13 +97,14 @@ def unknown_references(answer: Column, valid: Column) -> Column:
 def validated(answers: DataFrame, refusal: str = REFUSAL) -> DataFrame:
     """Checks, errors and warnings of answers (query_id, answer, insufficient_evidence, prompt, context_ids, citation_ids)."""
     none = F.array().cast("array<string>")
+    answers = answers.withColumns({"__answer": bare(F.col("answer")), "__prompt": bare(F.col("prompt"))})  # once, as many checks read them
     context, cited = F.filter(F.coalesce("context_ids", none), lambda x: F.coalesce(x, F.lit("")) != ""), F.filter(F.coalesce("citation_ids", none), lambda x: F.coalesce(x, F.lit("")) != "")
-    answer, refuses = F.coalesce("answer", F.lit("")), bare(F.col("answer")).contains(bare(F.lit(refusal)))
+    answer, refuses = F.coalesce("answer", F.lit("")), F.col("__answer").contains(bare(F.lit(refusal)))
     weak = F.coalesce("insufficient_evidence", F.lit(False))
     outside = F.array_sort(F.array_except(cited, context))
     unknown = unknown_references(answer, F.array_union(context, cited))
     has_prompt = F.trim(F.coalesce("prompt", F.lit(""))) != ""
-    b = bare(F.col("prompt"))
+    b = F.col("__prompt")
     says = lambda words: F.lit(False) if not words else b.contains(words[0]) | says(words[1:])
     page = F.col("prompt").rlike(r"(?iU)\bpages?\s*:\s*\d+") | F.col("prompt").rlike(r"(?i)\bpage_(?:start|end)\b") | b.contains("pagina")
     prompt_checks = {
