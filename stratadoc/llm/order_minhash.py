@@ -12,10 +12,10 @@ words (compared by 32-bit hashes), as what is aligned is a common subsequence.
 
 Copies (same words) are one node.  A sketch's bucket is never expanded into pairs: all members are compared to its
 least one, then those left to their least one.  A bucket whose members are then in one component is done.  In the others
-each member outside the largest component is compared to all members, in blocks of ``BLOCK`` by ``BLOCK``, so that a member
-goes to at most ``FEW`` blocks of outsiders.  A bucket of more outsiders (very many unlike texts around one passage) is
-first dealt anew by fresh sketches of its members, up to ``DEPTH`` times, which leaves similar members together.  Classes
-are the connected components of the links.
+each member outside the largest component meets all members, in blocks of ``BLOCK`` by ``BLOCK``.  If more than ``FEW``
+blocks are outside (very many unlike texts around one passage), members meet by their rarest words instead: of n words all
+but 0.8 n, and one more, so that two similar texts have one of them in common, whatever the order of rarity.  Neither way
+loses a link, so a bucket's size decides about work alone.  Classes are the connected components of the links.
 
 Every row is a document of its own, rows of null or repeated doc_ids too.  Texts without a word (null, empty) are classes
 of their own.  class_id is the least doc_id of the class, null only if all of them are.  A text may have any length; an
@@ -25,7 +25,7 @@ empty table gives no rows; extra columns are not read by ``classes`` and pass th
 from __future__ import annotations
 
 from bisect import bisect_left
-from functools import reduce
+from functools import cached_property, reduce
 from math import ceil
 
 import numpy as np
@@ -36,8 +36,9 @@ from pyspark.sql import functions as F
 from . import shared, textscan
 from .components import components
 
-K, SKETCHES, ORDER, SIMILARITY, BLOCK, FEW, DEPTH = 5, 24, 2, 0.8, 400, 4, 3
+K, SKETCHES, ORDER, SIMILARITY, BLOCK, FEW = 5, 24, 2, 0.8, 400, 1
 LEAST_SHARED = 0.25  # of the longer text's k-mers, for an alignment to be tried
+BINS = 1 << 16  # by which the rarity of words is counted
 
 
 def labelled(values: np.ndarray) -> np.ndarray:
@@ -61,13 +62,13 @@ def labelled_kmers(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return grams, labelled(grams)
 
 
-def sketches(words: np.ndarray, family: int = 0) -> np.ndarray:
+def sketches(words: np.ndarray) -> np.ndarray:
     """The distinct sketches of a text: each one hash of its least labelled k-mers, in text order."""
     grams, labels = labelled_kmers(words)
     if not len(grams):
         return np.zeros(0, np.int64)
     n = min(ORDER, len(grams))
-    seeds = textscan.mix(np.arange(1 + family * SKETCHES, 1 + (family + 1) * SKETCHES, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+    seeds = textscan.mix(np.arange(1, 1 + SKETCHES, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
     out = np.empty(SKETCHES, np.uint64)
     rows = max(1, (1 << 17) // len(grams))  # a long text takes its sketches a few at a time
     with np.errstate(over="ignore"):
@@ -96,11 +97,20 @@ class Text:
     def __init__(self, words: bytes):
         self.words = np.frombuffer(words, "<u4")
         self.bag = np.sort(labelled(self.words.astype(np.uint64)))
-        _, self.labels = labelled_kmers(self.words)
-        self.order = np.argsort(self.labels)
-        self.sorted = self.labels[self.order]
         self.k = min(K, len(self.words))
 
+    @cached_property
+    def labels(self) -> np.ndarray:
+        return labelled_kmers(self.words)[1]
+
+    @cached_property
+    def order(self) -> np.ndarray:
+        return np.argsort(self.labels)
+
+    @cached_property
+    def sorted(self) -> np.ndarray:
+        return self.labels[self.order]
+
 
 def _chain(j: np.ndarray) -> np.ndarray:
     """Which values form the longest rising subsequence."""
@@ -168,9 +178,13 @@ def common_words(a: Text, b: Text) -> int:
     return int((b.bag[np.minimum(np.searchsorted(b.bag, a.bag), len(b.bag) - 1)] == a.bag).sum())
 
 
+def _alike(a: Text, b: Text, least: int) -> bool:
+    return alignment(a, b) >= least
+
+
 def similar(a: Text, b: Text) -> bool:
     least = needed(len(a.words), len(b.words))
-    return min(len(a.words), len(b.words)) >= least and common_words(a, b) >= least and alignment(a, b) >= least
+    return min(len(a.words), len(b.words)) >= least and common_words(a, b) >= least and _alike(a, b, least)
 
 
 _SKETCHED = "row long, doc_id long, digest binary, words binary, keys array<long>"
@@ -184,10 +198,28 @@ def _sketched(batches):
             yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), pa.array(digests, pa.binary()), pa.array([w.tobytes() for w in words], pa.binary()), pa.array([sketches(w) for w in words], pa.list_(pa.int64()))], ["row", "doc_id", "digest", "words", "keys"])
 
 
-def _fresh(family: int):
+def _counted(batches):
+    """How often the labelled words of a bin occur."""
+    for batch in batches:
+        held = np.zeros(BINS, np.int64)
+        for words in batch.column("words").to_pylist():
+            held += np.bincount((Text(words).bag % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+        bins = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(held[bins])], ["bin", "n"])
+
+
+def rarest(words: bytes, often: np.ndarray) -> np.ndarray:
+    """The rarest labelled words of a text, so many that it shares one of them with every text similar to it."""
+    bag = Text(words).bag
+    return bag[np.lexsort((bag, often[(bag % np.uint64(BINS)).astype(np.int64)]))][: len(bag) - needed(len(bag), 0) + 1]
+
+
+def _rarest(often: np.ndarray):
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([sketches(np.frombuffer(w, "<u4"), family) for w in batch.column("words").to_pylist()], pa.list_(pa.int64()))], ["node", "keys"])
+            found = [rarest(words, often) for words in batch.column("words").to_pylist()]
+            nodes = np.repeat(batch.column("node").to_numpy(), [len(f) for f in found])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64) if found else nodes), pa.array(nodes)], ["key", "node"])
 
     return run
 
@@ -204,10 +236,11 @@ def _verified(batches):
             yield pa.RecordBatch.from_arrays([part.column("a").filter(pa.array(ok)), part.column("b").filter(pa.array(ok))], ["a", "b"])
 
 
-def links_between(nodes: list[int], texts: list[Text], parts: list[int], left: list[bool]) -> list[tuple[int, int]]:
+def links_between(nodes: list[int], texts: list[Text], parts: list[int], left: list[bool], keys: list[list[int]] | None = None, key: int | None = None) -> list[tuple[int, int]]:
     """Links that connect what is similar: every node of the left is compared to every node that is not connected to it.
 
-    ``parts`` names the component that each node is known to be in.
+    ``parts`` names the component that each node is known to be in.  Nodes with ``keys`` are only compared if they share
+    one, and if ``key`` is given, only if it is the least that they share, so that no pair is compared in two buckets.
     """
     sizes = np.array([len(t.words) for t in texts])
     first = np.flatnonzero(left)
@@ -233,20 +266,28 @@ def links_between(nodes: list[int], texts: list[Text], parts: list[int], left: l
             x = parent[x]
         return x
 
+    def meet(i: int, j: int) -> bool:
+        both = set(keys[i]).intersection(keys[j])
+        return bool(both) and key in (None, min(both))
+
     out = []
     for at, i in enumerate(first.tolist()):
         least = np.ceil(SIMILARITY * np.maximum(sizes[i], sizes) - 1e-9)
         for j in np.flatnonzero((common[at] >= least) & (np.minimum(sizes[i], sizes) >= least)).tolist():
-            if (a := top(i)) != (b := top(j)) and alignment(texts[i], texts[j]) >= least[j]:
+            if (a := top(i)) != (b := top(j)) and (keys is None or meet(i, j)) and _alike(texts[i], texts[j], int(least[j])):
                 parent[b] = a
                 out.append((nodes[i], nodes[j]))
     return out
 
 
-def _block_links(table: pa.Table) -> pa.Table:
-    texts = [Text(w) for w in table.column("words").to_pylist()]
-    found = links_between(table.column("node").to_pylist(), texts, table.column("part").to_pylist(), table.column("left").to_pylist())
-    return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+def _block_links(by_words: bool):
+    def run(table: pa.Table) -> pa.Table:
+        texts = [Text(w) for w in table.column("words").to_pylist()]
+        key = None if by_words else table.column("key")[0].as_py()
+        found = links_between(*(table.column(c).to_pylist() if c != "words" else texts for c in ("node", "words", "part", "left", "keys")), key)
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return run
 
 
 def _open(members: DataFrame, known: DataFrame) -> DataFrame:
@@ -271,50 +312,56 @@ def _blocks(opened: DataFrame) -> DataFrame:
     return whole.union(right).union(left)
 
 
-def _led(active: DataFrame, words: DataFrame, tables: list[DataFrame], apart: bool, rounds: int = 2) -> tuple[list[DataFrame], DataFrame]:
-    """Links of the members (key, node, part) of buckets to their least one, then of those left to theirs; and the members
-    (key, node) of buckets of more than two.  What is known to be of one part is not compared (``apart``: each node is a
-    part of its own)."""
-    links, members = [], None
+def _led(buckets: DataFrame, words: DataFrame, tables: list[DataFrame], rounds: int = 2) -> tuple[list[DataFrame], DataFrame]:
+    """Links of the members (key, node) of buckets to their least one, then of those left to theirs; and the members of
+    buckets of more than two."""
+    links, members, active = [], None, buckets
     for _ in range(rounds):
-        lead = {"min_node": F.min("node")} if apart else {"min_lead": F.min(F.struct("node", "part")), "min_part": F.min("part"), "max_part": F.max("part")}
-        dealt = shared.salted_join(active, "key", "node", "sum_n > 1" if apart else "sum_n > 1 AND min_part < max_part", sum_n=F.sum(F.lit(1)), **lead)
-        of = ("min_node", "min_node") if apart else ("min_lead.node", "min_lead.part")
-        led = shared.written(dealt.select("key", "node", "part", F.col(of[0]).alias("a"), F.col(of[1]).alias("of"), (F.col("sum_n") > 2).alias("more")), "led")
+        dealt = shared.salted_join(active, "key", "node", "sum_n > 1", sum_n=F.sum(F.lit(1)), min_node=F.min("node"))
+        led = shared.written(dealt.select("key", "node", F.col("min_node").alias("a"), (F.col("sum_n") > 2).alias("more")), "led")
         if members is None:
             members = led.where("more").select("key", "node")
-        pairs = led.where("part <> of").select("a", F.col("node").alias("b")).distinct()
+        pairs = led.where("node <> a").select("a", F.col("node").alias("b")).distinct()
         texts = words.select(F.col("node").alias("b"), F.col("words").alias("other"))
         both = shared.salted_lookup(pairs.join(texts, "b"), "a", "b", words.withColumnRenamed("node", "a"), "inner")
         links.append(shared.written(both.sortWithinPartitions("a").mapInArrow(_verified, "a long, b long"), "links"))
         tables.append(led)
         linked = links[-1].select("a", F.col("b").alias("node"))
-        active = led.where("node <> a").join(linked, ["a", "node"], "left_anti").select("key", "node", "part")
+        active = led.where("node <> a").join(linked, ["a", "node"], "left_anti").select("key", "node")
     return links, members
 
 
+def _keyed(opened: DataFrame, words: DataFrame) -> DataFrame:
+    """The members of open buckets, once, with the keys of these buckets and their words."""
+    return shared.written(opened.groupBy("node").agg(F.collect_set("key").alias("keys")).join(words, "node"), "keyed")
+
+
+def _met(opened: DataFrame, texts: DataFrame, by_words: bool) -> DataFrame:
+    """Links of the members of open buckets (``by_words``: of those that have a rare word), with their texts joined to their blocks."""
+    return shared.written(_blocks(opened).join(texts, "node").groupBy("key", "i", "j").applyInArrow(_block_links(by_words), "a long, b long"), "links")
+
+
 def _linked(buckets: DataFrame, words: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """The links (a, b) of all buckets (key, node); and the tables to be discarded when the links have been used."""
+    """Links (a, b) that connect what all buckets (key, node) link; and the tables to be discarded when they have been used."""
     tables: list[DataFrame] = []
-    active, links = buckets.withColumn("part", F.col("node")), []
-    every = lambda: reduce(DataFrame.union, links)
-    for depth in range(DEPTH + 1):
-        found, members = _led(active, words, tables, depth == 0)
-        links += found
-        known = shared.written(components(every()), "components")
-        opened = shared.written(_open(members, known), "open")
-        tables += [known, opened]
-        many = F.col("rest") > FEW * BLOCK
-        small = opened if depth == DEPTH else opened.where(~many)
-        links.append(shared.written(_blocks(small).join(words, "node").groupBy("key", "i", "j").applyInArrow(_block_links, "a long, b long"), "links"))
-        large = opened.where(many)
-        if depth == DEPTH or large.isEmpty():
-            break
-        fresh = shared.written(words.join(large.select("node").distinct(), "node", "left_semi").mapInArrow(_fresh(depth + 1), "node long, keys array<long>"), "fresh")
-        again = large.select("key", "node", "part").join(fresh, "node").select("key", "node", "part", F.explode("keys").alias("sketch"))
-        active = shared.written(again.select(F.xxhash64("key", "sketch").alias("key"), "node", "part"), "buckets")
-        tables += [fresh, active]
-    return every(), [*tables, *links]
+    links, members = _led(buckets, words, tables)
+    known = shared.written(components(reduce(DataFrame.union, links)), "components")
+    opened = shared.written(_open(members, known), "open")
+    many = F.col("rest") > FEW * BLOCK
+    few, large = opened.where(~many), opened.where(many)
+    texts = _keyed(few, words)
+    found = [_met(few, texts, False)]
+    tables.append(texts)
+    if not large.isEmpty():
+        texts = _keyed(large, words)
+        often = np.zeros(BINS, np.int64)
+        for r in texts.select("words").mapInArrow(_counted, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
+            often[r["bin"]] = r["n"]
+        again = shared.written(_open(texts.select("node", "words").mapInArrow(_rarest(often), "key long, node long"), known), "open")
+        found.append(_met(again, texts, True))
+        tables += [texts, again]
+    every = reduce(DataFrame.union, found, known.select(F.col("component").alias("a"), F.col("node").alias("b")))
+    return every, [*tables, *links, *found, known, opened]
 
 
 def _classified(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

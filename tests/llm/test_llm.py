@@ -343,6 +343,40 @@ def test_many_unlike_texts_around_a_passage(spark, monkeypatch):
     assert got == {**{i: i for i in range(60)}, **{100 + i: i for i in range(10)}}
 
 
+def edited(words, whole, step, new):
+    """A text with its first ``whole`` words as they are and then each word of ``step`` replaced."""
+    return [new() if i >= whole and (i - whole) % step == step - 1 else x for i, x in enumerate(words)]
+
+
+def test_links_whatever_the_size_of_a_bucket(spark, monkeypatch):
+    """Links of one bucket are the same if it has few members, if it has many, and if no fresh sketch would tell of them."""
+    rng = random.Random(14)
+    new = lambda: rng.randrange(1 << 32)
+    texts = [[new() for _ in range(100)] for _ in range(40)]
+    texts += [edited(texts[i], 30, 4, new) for i in range(12)]
+    hub = texts[0][:79] + texts[39][79:]  # the least node is similar to none
+    texts = [hub, *texts]
+    buckets = spark.createDataFrame([(7, i) for i in range(len(texts))], "key long, node long")
+    words = spark.createDataFrame([(i, np.array(t, "<u4").tobytes()) for i, t in enumerate(texts)], "node long, words binary")
+    want = {(1 + i, 41 + i) for i in range(12)}
+    for block in 400, 4:
+        monkeypatch.setattr(order_minhash, "BLOCK", block)
+        links, _ = order_minhash._linked(buckets, words)
+        assert {(r["component"], r["node"]) for r in components.components(links).where("node <> component").collect()} == want
+
+
+def test_rare_words_meet_in_shared_buckets_only(spark, monkeypatch):
+    monkeypatch.setattr(order_minhash, "BLOCK", 2)
+    rng = random.Random(15)
+    new = lambda: rng.randrange(1 << 32)
+    texts = [[new() for _ in range(50)] for _ in range(20)]
+    texts[10:12] = edited(texts[1], 20, 5, new), edited(texts[2], 20, 5, new)
+    buckets = spark.createDataFrame([(7, i) for i in range(10)] + [(8, i) for i in range(2, 20)] + [(9, i) for i in (0, 3, 4)], "key long, node long")
+    words = spark.createDataFrame([(i, np.array(t, "<u4").tobytes()) for i, t in enumerate(texts)], "node long, words binary")
+    links, _ = order_minhash._linked(buckets, words)
+    assert {(r["component"], r["node"]) for r in components.components(links).where("node <> component").collect()} == {(2, 11)}
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(0, 40)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(45)] + [(200, 201 + i) for i in range(30)]
