@@ -4,11 +4,11 @@ Words are lower-cased runs of letters and digits; the k-mers are five words, lab
 four words is one k-mer).  Each of ``SKETCHES`` sketches takes the ``ORDER`` labelled k-mers of least hash and keeps
 them in text order, so a shared sketch tells of the same k-mers in the same order.
 
-Candidates share a sketch and a quarter of the longer text's k-mers.  They are verified by banded alignment: the longest
-chain of equal labelled k-mers in the order of both texts, within the band that the similarity allows, gives runs of
-aligned words; between the runs words are compared along the diagonals on both sides.  Similarity is the number of
-aligned words over the words of the longer text, an edit similarity; 0.8 or more is a link.  Every link is true of the
-words (compared by 32-bit hashes), as what is aligned is a common subsequence.
+Candidates share a sketch.  They are linked if their longest common subsequence has 0.8 or more of the longer text's
+words, an edit similarity (words are compared by 32-bit hashes).  Banded alignment accepts most links: the longest chain of
+equal labelled k-mers in the order of both texts, within the band that the similarity allows, gives runs of aligned words;
+between the runs words are compared along the diagonals on both sides.  What is aligned is a common subsequence; where it
+is too short, the longest one is found by bits.  Pairs with too few words in common, in whatever order, are left first.
 
 Copies (same words) are one node.  A sketch's bucket is never expanded into pairs: all members are compared to its
 least one, then those left to their least one.  A bucket whose members are then in one component is done.  In the others
@@ -37,7 +37,6 @@ from . import shared, textscan
 from .components import components
 
 K, SKETCHES, ORDER, SIMILARITY, BLOCK, FEW = 5, 24, 2, 0.8, 400, 1
-LEAST_SHARED = 0.25  # of the longer text's k-mers, for an alignment to be tried
 BINS = 1 << 16  # by which the rarity of words is counted
 
 
@@ -139,7 +138,7 @@ def _between(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def alignment(a: Text, b: Text) -> int:
-    """The number of aligned words; 0 if the texts share too few k-mers to be similar."""
+    """The number of aligned words; 0 if the texts share no k-mer within the band."""
     n, m = len(a.words), len(b.words)
     if a.k != b.k or not a.k:
         return 0
@@ -148,7 +147,7 @@ def alignment(a: Text, b: Text) -> int:
     j = b.order[found[i]]
     near = np.abs(i - j) <= max(n, m) - needed(n, m)
     i, j = i[near], j[near]
-    if len(i) < max(1, LEAST_SHARED * max(len(a.labels), len(b.labels))):
+    if not len(i):
         return 0
     on = _chain(j)
     i, j = i[on], j[on]
@@ -178,8 +177,32 @@ def common_words(a: Text, b: Text) -> int:
     return int((b.bag[np.minimum(np.searchsorted(b.bag, a.bag), len(b.bag) - 1)] == a.bag).sum())
 
 
+def common_subsequence(a: np.ndarray, b: np.ndarray, least: int) -> bool:
+    """Whether the longest common subsequence of two texts has ``least`` words or more; rows of its table are whole numbers."""
+    n = min(len(a), len(b))
+    head = int(np.append(a[:n] != b[:n], True).argmax())
+    a, b = a[head:], b[head:]
+    n -= head
+    tail = int(np.append(a[::-1][:n] != b[::-1][:n], True).argmax())
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    least -= head + tail
+    a, b = a[np.isin(a, b)], b[np.isin(b, a)]  # other words are in no common subsequence
+    if least <= 0 or min(len(a), len(b)) < least:
+        return least <= 0
+    places: dict[int, int] = {}
+    for at, x in enumerate(b.tolist()):
+        places[x] = places.get(x, 0) | 1 << at
+    full = v = (1 << len(b)) - 1
+    for at, x in enumerate(a.tolist(), 1):
+        p = v & places[x]
+        v = ((v + p) | (v - p)) & full
+        if not at % 64 and len(b) - v.bit_count() + len(a) - at < least:
+            return False
+    return len(b) - v.bit_count() >= least
+
+
 def _alike(a: Text, b: Text, least: int) -> bool:
-    return alignment(a, b) >= least
+    return alignment(a, b) >= least or common_subsequence(a.words, b.words, least)
 
 
 def similar(a: Text, b: Text) -> bool:

@@ -343,6 +343,17 @@ def test_many_unlike_texts_around_a_passage(spark, monkeypatch):
     assert got == {**{i: i for i in range(60)}, **{100 + i: i for i in range(10)}}
 
 
+def test_common_subsequence():
+    rng = random.Random(13)
+    for _ in range(400):
+        n, words = rng.randrange(1, 300), rng.choice([3, 50, 10**6])
+        a = [rng.randrange(words) for _ in range(n)]
+        b = [x for x in a for x in rng.choice([[x]] * rng.choice([1, 5, 30]) + [[], [x, rng.randrange(words)], [rng.randrange(words)]])]
+        size = common_length(a, b)
+        for least in {1, size - 1, size, size + 1, max(len(a), len(b))}:
+            assert order_minhash.common_subsequence(np.array(a, "<u4"), np.array(b, "<u4"), least) == (size >= least)
+
+
 def edited(words, whole, step, new):
     """A text with its first ``whole`` words as they are and then each word of ``step`` replaced."""
     return [new() if i >= whole and (i - whole) % step == step - 1 else x for i, x in enumerate(words)]
@@ -377,6 +388,24 @@ def test_rare_words_meet_in_shared_buckets_only(spark, monkeypatch):
     assert {(r["component"], r["node"]) for r in components.components(links).where("node <> component").collect()} == {(2, 11)}
 
 
+def test_near_dedup_of_texts_with_few_equal_kmers(spark):
+    """Of 40 words 33 are aligned, in runs most of which are shorter than a k-mer; where they share a sketch, one stays."""
+    import corpus_pipeline
+
+    rng = random.Random(16)
+    new = lambda: f"q{rng.randrange(10**6)}"
+    rows = []
+    while len(rows) < 12:
+        a = [new() for _ in range(40)]
+        b = edited(a, 9, 4, new)
+        keys = [set(order_minhash.sketches((h >> np.uint64(32)).astype("<u4")).tolist()) for h in textscan.words_of(*shared.utf8(pa.array([" ".join(a), " ".join(b)])))[0]]
+        if keys[0] & keys[1]:
+            assert common_length(a, b) == 33
+            rows += [(len(rows), " ".join(a)), (len(rows) + 1, " ".join(b))]
+    kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 12, 2))
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(0, 40)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(45)] + [(200, 201 + i) for i in range(30)]
