@@ -241,8 +241,9 @@ def _rarest(often: np.ndarray):
     def run(batches):
         for batch in batches:
             found = [rarest(words, often) for words in batch.column("words").to_pylist()]
-            nodes = np.repeat(batch.column("node").to_numpy(), [len(f) for f in found])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64) if found else nodes), pa.array(nodes)], ["key", "node"])
+            sizes = [len(f) for f in found]
+            nodes, parts = (np.repeat(batch.column(c).to_numpy(), sizes) for c in ("node", "part"))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64) if found else nodes), pa.array(nodes), pa.array(parts)], ["key", "node", "part"])
 
     return run
 
@@ -316,7 +317,11 @@ def _block_links(by_words: bool):
 def _open(members: DataFrame, known: DataFrame) -> DataFrame:
     """The members (key, node) of buckets that hold several known components, with their component (``part``) and, of the
     bucket, the most frequent one (``main``) and the numbers of its members (``n``) and of those outside it (``rest``)."""
-    placed = members.join(known, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
+    return _several(members.join(known, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part")))
+
+
+def _several(placed: DataFrame) -> DataFrame:
+    """``_open`` of members (key, node, part)."""
     parts = placed.groupBy("key", "part").agg(F.count("*").alias("n"))
     whole = parts.groupBy("key").agg(F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
     whole = whole.select("key", F.col("most.part").alias("main"), "n", (F.col("n") - F.col("most.n")).alias("rest"))
@@ -355,13 +360,13 @@ def _led(buckets: DataFrame, words: DataFrame, tables: list[DataFrame], rounds:
 
 
 def _keyed(opened: DataFrame, words: DataFrame) -> DataFrame:
-    """The members of open buckets, once, with the keys of these buckets and their words."""
-    return shared.written(opened.groupBy("node").agg(F.collect_set("key").alias("keys")).join(words, "node"), "keyed")
+    """The members of open buckets, once, with their component, the keys of these buckets and their words."""
+    return shared.written(opened.groupBy("node").agg(F.first("part").alias("part"), F.collect_set("key").alias("keys")).join(words, "node"), "keyed")
 
 
 def _met(opened: DataFrame, texts: DataFrame, by_words: bool) -> DataFrame:
     """Links of the members of open buckets (``by_words``: of those that have a rare word), with their texts joined to their blocks."""
-    return shared.written(_blocks(opened).join(texts, "node").groupBy("key", "i", "j").applyInArrow(_block_links(by_words), "a long, b long"), "links")
+    return shared.written(_blocks(opened).join(texts.drop("part"), "node").groupBy("key", "i", "j").applyInArrow(_block_links(by_words), "a long, b long"), "links")
 
 
 def _linked(buckets: DataFrame, words: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
@@ -380,9 +385,10 @@ def _linked(buckets: DataFrame, words: DataFrame) -> tuple[DataFrame, list[DataF
         often = np.zeros(BINS, np.int64)
         for r in texts.select("words").mapInArrow(_counted, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
             often[r["bin"]] = r["n"]
-        again = shared.written(_open(texts.select("node", "words").mapInArrow(_rarest(often), "key long, node long"), known), "open")
+        rare = shared.written(texts.select("node", "part", "words").mapInArrow(_rarest(often), "key long, node long, part long"), "rare")
+        again = shared.written(_several(rare), "open")
         found.append(_met(again, texts, True))
-        tables += [texts, again]
+        tables += [texts, rare, again]
     every = reduce(DataFrame.union, found, known.select(F.col("component").alias("a"), F.col("node").alias("b")))
     return every, [*tables, *links, *found, known, opened]
 
