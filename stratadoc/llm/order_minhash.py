@@ -5,10 +5,11 @@ four words is one k-mer).  Each of ``SKETCHES`` sketches takes the ``ORDER`` lab
 them in text order, so a shared sketch tells of the same k-mers in the same order.
 
 Candidates share a sketch.  They are linked if their longest common subsequence has 0.8 or more of the longer text's
-words, an edit similarity (words are compared by 32-bit hashes).  Banded alignment accepts most links: the longest chain of
-equal labelled k-mers in the order of both texts, within the band that the similarity allows, gives runs of aligned words;
-between the runs words are compared along the diagonals on both sides.  What is aligned is a common subsequence; where it
-is too short, the longest one is found by bits.  Pairs with too few words in common, in whatever order, are left first.
+words, an edit similarity (words are compared by 32-bit hashes).  Banded alignment accepts most links of texts of more than
+``SHORT`` words: the longest chain of equal labelled k-mers in the order of both texts, within the band that the similarity
+allows, gives runs of aligned words; between the runs words are compared along the diagonals on both sides.  What is aligned
+is a common subsequence; where it is too short, and for short texts, the longest one is found by bits.  Pairs with too few
+words in common, in whatever order, are left first.
 
 Copies (same words) are one node.  A sketch's bucket is never expanded into pairs: all members are compared to its
 least one, then those left to their least one.  A bucket whose members are then in one component is done.  In the others
@@ -30,14 +31,15 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shared, textscan
 from .components import components
 
 K, SKETCHES, ORDER, SIMILARITY, BLOCK, FEW = 5, 24, 2, 0.8, 400, 1
-BINS = 1 << 16  # by which the rarity of words is counted
+SHORT = 400  # words up to which the longest common subsequence is found sooner than an alignment
+BINS, SLOT = 1 << 16, 1 << 10  # by which the rarity of words is counted, and so many in a row
 
 
 def labelled(values: np.ndarray) -> np.ndarray:
@@ -186,14 +188,20 @@ def common_subsequence(a: np.ndarray, b: np.ndarray, least: int) -> bool:
     tail = int(np.append(a[::-1][:n] != b[::-1][:n], True).argmax())
     a, b = a[: len(a) - tail], b[: len(b) - tail]
     least -= head + tail
-    a, b = a[np.isin(a, b)], b[np.isin(b, a)]  # other words are in no common subsequence
     if least <= 0 or min(len(a), len(b)) < least:
         return least <= 0
+    left, right = a.tolist(), b.tolist()
+    held = set(right)
+    a = [x for x in left if x in held]  # other words are in no common subsequence
+    held = set(a)
+    b = [x for x in right if x in held]
+    if min(len(a), len(b)) < least:
+        return False
     places: dict[int, int] = {}
-    for at, x in enumerate(b.tolist()):
+    for at, x in enumerate(b):
         places[x] = places.get(x, 0) | 1 << at
     full = v = (1 << len(b)) - 1
-    for at, x in enumerate(a.tolist(), 1):
+    for at, x in enumerate(a, 1):
         p = v & places[x]
         v = ((v + p) | (v - p)) & full
         if not at % 64 and len(b) - v.bit_count() + len(a) - at < least:
@@ -202,7 +210,9 @@ def common_subsequence(a: np.ndarray, b: np.ndarray, least: int) -> bool:
 
 
 def _alike(a: Text, b: Text, least: int) -> bool:
-    return alignment(a, b) >= least or common_subsequence(a.words, b.words, least)
+    """Short texts' longest common subsequence takes no longer than their alignment, which is never longer."""
+    short = max(len(a.words), len(b.words)) <= SHORT
+    return not short and alignment(a, b) >= least or common_subsequence(a.words, b.words, least)
 
 
 def similar(a: Text, b: Text) -> bool:
@@ -222,13 +232,26 @@ def _sketched(batches):
 
 
 def _counted(batches):
-    """How often the labelled words of a bin occur."""
+    """How often the labelled words of each bin occur in all texts of a task, as rows of ``SLOT`` bins."""
+    held = np.zeros(BINS, "<i8")
     for batch in batches:
-        held = np.zeros(BINS, np.int64)
         for words in batch.column("words").to_pylist():
             held += np.bincount((Text(words).bag % np.uint64(BINS)).astype(np.int64), minlength=BINS)
-        bins = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(held[bins])], ["bin", "n"])
+    if held.any():
+        yield pa.RecordBatch.from_arrays([pa.array(range(BINS // SLOT), pa.int64()), pa.array([n.tobytes() for n in held.reshape(-1, SLOT)], pa.binary())], ["slot", "n"])
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """One row for the rows that the tasks have counted of a slot."""
+    return pa.table({"slot": table.column("slot")[:1], "n": pa.array([sum(np.frombuffer(n, "<i8") for n in table.column("n").to_pylist()).tobytes()], pa.binary())})
+
+
+def occurrences(texts: DataFrame) -> np.ndarray:
+    """How often the labelled words of each bin occur in all texts (words)."""
+    often = np.zeros((BINS // SLOT, SLOT), np.int64)
+    for r in texts.select("words").mapInArrow(_counted, "slot long, n binary").groupBy("slot").applyInArrow(_summed, "slot long, n binary").collect():
+        often[r["slot"]] = np.frombuffer(r["n"], "<i8")
+    return often.ravel()
 
 
 def rarest(words: bytes, often: np.ndarray) -> np.ndarray:
@@ -304,14 +327,12 @@ def links_between(nodes: list[int], texts: list[Text], parts: list[int], left: l
     return out
 
 
-def _block_links(by_words: bool):
-    def run(table: pa.Table) -> pa.Table:
-        texts = [Text(w) for w in table.column("words").to_pylist()]
-        key = None if by_words else table.column("key")[0].as_py()
-        found = links_between(*(table.column(c).to_pylist() if c != "words" else texts for c in ("node", "words", "part", "left", "keys")), key)
-        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
-
-    return run
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links of one block; the key of a block ``by_words`` is a word, any other's is one of its members' keys."""
+    texts = [Text(w) for w in table.column("words").to_pylist()]
+    key = None if table.column("by_words")[0].as_py() else table.column("key")[0].as_py()
+    found = links_between(*(table.column(c).to_pylist() if c != "words" else texts for c in ("node", "words", "part", "left", "keys")), key)
+    return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
 
 def _open(members: DataFrame, known: DataFrame) -> DataFrame:
@@ -322,10 +343,11 @@ def _open(members: DataFrame, known: DataFrame) -> DataFrame:
 
 def _several(placed: DataFrame) -> DataFrame:
     """``_open`` of members (key, node, part)."""
-    parts = placed.groupBy("key", "part").agg(F.count("*").alias("n"))
-    whole = parts.groupBy("key").agg(F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
-    whole = whole.select("key", F.col("most.part").alias("main"), "n", (F.col("n") - F.col("most.n")).alias("rest"))
-    return shared.salted_lookup(placed, "key", "node", whole, "inner")
+    own = shared.salted(placed, "node")
+    parts = own.groupBy("key", "part").agg(F.count("*").alias("n"), shared.salts())
+    whole = parts.groupBy("key").agg(F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts"), F.bit_or("salts").alias("salts")).where("parts > 1")
+    whole = whole.select("key", F.col("most.part").alias("main"), "n", (F.col("n") - F.col("most.n")).alias("rest"), "salts")
+    return own.join(shared.dealt(whole), ["key", "salt"]).drop("salt")
 
 
 def _blocks(opened: DataFrame) -> DataFrame:
@@ -351,7 +373,7 @@ def _led(buckets: DataFrame, words: DataFrame, tables: list[DataFrame], rounds:
             members = led.where("more").select("key", "node")
         pairs = led.where("node <> a").select("a", F.col("node").alias("b")).distinct()
         texts = words.select(F.col("node").alias("b"), F.col("words").alias("other"))
-        both = shared.salted_lookup(pairs.join(texts, "b"), "a", "b", words.withColumnRenamed("node", "a"), "inner")
+        both = shared.salted_lookup(pairs.join(texts, "b"), "a", "b", words.withColumnRenamed("node", "a"), "inner", of=pairs)
         links.append(shared.written(both.sortWithinPartitions("a").mapInArrow(_verified, "a long, b long"), "links"))
         tables.append(led)
         linked = links[-1].select("a", F.col("b").alias("node"))
@@ -359,38 +381,33 @@ def _led(buckets: DataFrame, words: DataFrame, tables: list[DataFrame], rounds:
     return links, members
 
 
-def _keyed(opened: DataFrame, words: DataFrame) -> DataFrame:
-    """The members of open buckets, once, with their component, the keys of these buckets and their words."""
-    return shared.written(opened.groupBy("node").agg(F.first("part").alias("part"), F.collect_set("key").alias("keys")).join(words, "node"), "keyed")
-
-
-def _met(opened: DataFrame, texts: DataFrame, by_words: bool) -> DataFrame:
-    """Links of the members of open buckets (``by_words``: of those that have a rare word), with their texts joined to their blocks."""
-    return shared.written(_blocks(opened).join(texts.drop("part"), "node").groupBy("key", "i", "j").applyInArrow(_block_links(by_words), "a long, b long"), "links")
+def _keyed(opened: DataFrame, many: Column, words: DataFrame) -> DataFrame:
+    """The members of open buckets, once, with their component and words, and the keys of their buckets: of those of
+    ``many`` outsiders (``wide``) and of the others."""
+    keys = (F.collect_set(F.when(c, F.col("key"))).alias(n) for c, n in ((~many, "keys"), (many, "wide")))
+    return shared.written(opened.groupBy("node").agg(F.first("part").alias("part"), *keys).join(words, "node"), "keyed")
 
 
 def _linked(buckets: DataFrame, words: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Links (a, b) that connect what all buckets (key, node) link; and the tables to be discarded when they have been used."""
     tables: list[DataFrame] = []
     links, members = _led(buckets, words, tables)
-    known = shared.written(components(reduce(DataFrame.union, links)), "components")
+    known = components(reduce(DataFrame.union, links))
     opened = shared.written(_open(members, known), "open")
     many = F.col("rest") > FEW * BLOCK
-    few, large = opened.where(~many), opened.where(many)
-    texts = _keyed(few, words)
-    found = [_met(few, texts, False)]
-    tables.append(texts)
+    texts = _keyed(opened, many, words)
+    tables += [known, opened, texts]
+    blocks = _blocks(opened.where(~many)).withColumn("by_words", F.lit(False))
+    large = texts.where("size(wide) > 0")
     if not large.isEmpty():
-        texts = _keyed(large, words)
-        often = np.zeros(BINS, np.int64)
-        for r in texts.select("words").mapInArrow(_counted, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
-            often[r["bin"]] = r["n"]
-        rare = shared.written(texts.select("node", "part", "words").mapInArrow(_rarest(often), "key long, node long, part long"), "rare")
+        rare = shared.written(large.select("node", "part", "words").mapInArrow(_rarest(occurrences(large)), "key long, node long, part long"), "rare")
         again = shared.written(_several(rare), "open")
-        found.append(_met(again, texts, True))
-        tables += [texts, rare, again]
-    every = reduce(DataFrame.union, found, known.select(F.col("component").alias("a"), F.col("node").alias("b")))
-    return every, [*tables, *links, *found, known, opened]
+        blocks = blocks.union(_blocks(again).withColumn("by_words", F.lit(True)))
+        tables += [rare, again]
+    held = blocks.join(texts.select("node", "words", F.col("keys").alias("narrow"), "wide"), "node")
+    held = held.withColumn("keys", F.when(F.col("by_words"), F.col("wide")).otherwise(F.col("narrow"))).drop("narrow", "wide")
+    found = shared.written(held.groupBy("by_words", "key", "i", "j").applyInArrow(_block_links, "a long, b long"), "links")
+    return found.union(known.select(F.col("component").alias("a"), F.col("node").alias("b"))), [*tables, *links, found]
 
 
 def _classified(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -407,10 +424,11 @@ def _classified(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     lone = shared.written(sketched.where("digest IS NULL").select("row", "doc_id"), "wordless")
     shared.discard(sketched)
     links, used = _linked(buckets, words)
-    found = components(links).join(nodes, "node")
+    known = components(links)
+    found = known.join(nodes, "node")
     classes = shared.salted_join(found, "component", "node", min_own=F.min("own")).select("node", F.col("min_own").alias("class"))
     out = shared.written(shared.salted_lookup(of, "node", "row", classes).select("row", "doc_id", F.coalesce("class", "own").alias("first")), "classes")
-    shared.discard(of, buckets, words, *used)
+    shared.discard(of, buckets, words, known, *used)
     return lone, out
 
 

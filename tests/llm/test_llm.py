@@ -419,6 +419,58 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_links_are_united_before_stars(spark, monkeypatch):
+    """Links that one task holds need no round of stars; of more, stars connect what the tasks have left."""
+    rng = random.Random(17)
+    links = [(i, i + 1) for i in range(300)] + [(1000 + rng.randrange(400), 1000 + rng.randrange(400)) for _ in range(350)] + [(2000, 2001 + i) for i in range(90)]
+    rng.shuffle(links)
+    parent = {x: x for e in links for x in e}
+
+    def top(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for a, b in links:
+        parent[max(top(a), top(b))] = min(top(a), top(b))
+    want = {x: top(x) for a, b in links if a != b for x in (a, b)}
+    rows = spark.createDataFrame(links, "a long, b long").repartition(7)
+    stars, asked = components._stars, []
+    monkeypatch.setattr(components, "_stars", lambda edges: asked.append(1) or stars(edges))
+    assert {r[0]: r[1] for r in components.components(rows).collect()} == want and not asked
+    monkeypatch.setattr(components, "PART", 120)
+    assert {r[0]: r[1] for r in components.components(rows).collect()} == want and asked
+    batches = pa.Table.from_arrays([pa.array([a for a, _ in links]), pa.array([b for _, b in links])], ["a", "b"]).to_batches(max_chunksize=50)
+    monkeypatch.setattr(components, "PART", 80)
+    parts = list(components._united(iter(batches)))
+    assert len(parts) > 8 and all(p.num_rows <= 160 for p in parts) and not list(components._united(iter([])))
+
+
+def test_words_are_counted_in_rows_of_fixed_number(spark):
+    """However many batches a task has and however many words they hold; bins of frequent words have their full number."""
+    rng = random.Random(18)
+    texts = [np.array([rng.randrange(1 << 32) for _ in range(200)] + [7, 7, 7], "<u4").tobytes() for _ in range(300)]
+    batches = pa.table({"words": pa.array(texts, pa.binary())}).to_batches(max_chunksize=20)
+    assert sum(b.num_rows for b in order_minhash._counted(iter(batches))) == order_minhash.BINS // order_minhash.SLOT
+    assert not list(order_minhash._counted(iter([])))
+    want = np.zeros(order_minhash.BINS, np.int64)
+    for t in texts:
+        np.add.at(want, (order_minhash.Text(t).bag % np.uint64(order_minhash.BINS)).astype(np.int64), 1)
+    assert (order_minhash.occurrences(spark.createDataFrame([(t,) for t in texts], "words binary").repartition(5)) == want).all() and want.max() >= 300
+
+
+def test_short_and_long_texts_are_compared_alike(monkeypatch):
+    rng = random.Random(19)
+    ready = lambda w: order_minhash.Text(np.array(w, "<u4").tobytes())
+    for _ in range(200):
+        a = [rng.randrange(60) for _ in range(rng.randrange(1, 80))]
+        b = [x for x in a for x in rng.choice([[x]] * 8 + [[], [x, rng.randrange(60)], [rng.randrange(60)]])] or [1]
+        want = common_length(a, b) >= order_minhash.needed(len(a), len(b))
+        for short in 0, 400:
+            monkeypatch.setattr(order_minhash, "SHORT", short)
+            assert order_minhash._alike(ready(a), ready(b), order_minhash.needed(len(a), len(b))) == want
+
+
 # ---- 5
 
 def brute_count(word, initial, inner, longest=128):
