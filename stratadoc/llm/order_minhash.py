@@ -255,9 +255,12 @@ def occurrences(texts: DataFrame) -> np.ndarray:
 
 
 def rarest(words: bytes, often: np.ndarray) -> np.ndarray:
-    """The rarest labelled words of a text, so many that it shares one of them with every text similar to it."""
+    """The rarest labelled words of a text, so many that it shares one of them with every text similar to it, without those
+    that it shares with none: a bag has a labelled word once, so a bin of one occurrence is in one text alone."""
     bag = Text(words).bag
-    return bag[np.lexsort((bag, often[(bag % np.uint64(BINS)).astype(np.int64)]))][: len(bag) - needed(len(bag), 0) + 1]
+    n = often[(bag % np.uint64(BINS)).astype(np.int64)]
+    first = np.lexsort((bag, n))[: len(bag) - needed(len(bag), 0) + 1]
+    return bag[first[n[first] > 1]]
 
 
 def _rarest(often: np.ndarray):

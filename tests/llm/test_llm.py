@@ -459,6 +459,18 @@ def test_words_are_counted_in_rows_of_fixed_number(spark):
     assert (order_minhash.occurrences(spark.createDataFrame([(t,) for t in texts], "words binary").repartition(5)) == want).all() and want.max() >= 300
 
 
+def test_rarest_words_leave_out_what_one_text_has(spark):
+    """Words of one text alone are no keys; two texts of 0.8 common words still share one of theirs."""
+    rng = random.Random(20)
+    new = lambda: rng.randrange(1 << 32)
+    texts = [[new() for _ in range(50)] for _ in range(20)]
+    texts += [edited(t, 0, 5, new) for t in texts[:5]]
+    held = [np.array(t, "<u4").tobytes() for t in texts]
+    often = order_minhash.occurrences(spark.createDataFrame([(t,) for t in held], "words binary"))
+    keys = [set(order_minhash.rarest(t, often).tolist()) for t in held]
+    assert all(keys[i] & keys[20 + i] for i in range(5)) and sum(map(len, keys)) <= 130
+
+
 def test_short_and_long_texts_are_compared_alike(monkeypatch):
     rng = random.Random(19)
     ready = lambda w: order_minhash.Text(np.array(w, "<u4").tobytes())
